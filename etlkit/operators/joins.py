@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from etlkit.operators.sizing import (
-    BROADCAST_LIMIT_BYTES, broadcast_if_small, hot_keys, is_hot, is_small, row_salt, salts_for,
+    BROADCAST_LIMIT_BYTES, broadcast_if_small, hot_keys, is_hot, is_small, measured_bytes, row_salt,
+    salts_for, shuffle_partitions,
 )
 
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
 
+def _hash_tables_fit(right: DataFrame, keys: list[str], limit_bytes: int) -> bool:
+    """Whether the largest hash table of a shuffled hash join on ``right`` fits the limit."""
+    hottest = max(hot_keys(right, keys).values(), default=0.0)
+    return measured_bytes(right) * max(hottest, 1 / shuffle_partitions(right)) <= limit_bytes
+
+
 def equi_join(
     left: DataFrame,
     right: DataFrame,
@@ -25,15 +32,49 @@ def equi_join(
 
     ``auto`` leaves the choice to Spark, which broadcasts by measured run-time size.
     ``broadcast`` measures ``right`` first and falls back to ``auto`` beyond the
-    limit. ``shuffle_hash`` builds its table on ``right``.
+    limit. ``shuffle_hash`` builds its tables on ``right`` if they measurably fit,
+    else the join sorts. Shuffle joins leave hot keys of ``left`` to adaptive
+    execution, which splits their partition.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}, expected one of {STRATEGIES}")
+    keys = [on] if isinstance(on, str) else list(on)
     if strategy == "broadcast":
         right = broadcast_if_small(right, limit_bytes)
+    elif strategy == "shuffle_hash" and not _hash_tables_fit(right, keys, limit_bytes):
+        right = right.hint("merge")
     elif strategy != "auto":
         right = right.hint(strategy)
-    return left.join(right, on, how)
+    return left.join(right, keys, how)
+
+
+def join_aggregate(
+    fact: DataFrame,
+    dimension: DataFrame,
+    on: Sequence[str],
+    by: Sequence[str],
+    sums: Mapping[str, str | Column],
+    rows: str = "rows",
+    limit_bytes: int = BROADCAST_LIMIT_BYTES,
+) -> DataFrame:
+    """Sums and row count of an inner join, grouped by dimension columns ``by``.
+
+    A dimension measured small is broadcast. Otherwise the fact is first summed
+    per join key: only partial sums are shuffled, and a key holding many rows
+    becomes one row per map task.
+    """
+    values = {name: F.expr(v) if isinstance(v, str) else v for name, v in sums.items()}
+    used = fact.select(*on, *[v.alias(name) for name, v in values.items()])
+    if is_small(dimension, limit_bytes):
+        joined = used.join(F.broadcast(dimension), list(on))
+        counted = F.count(F.lit(1))
+    else:
+        partial = used.groupBy(*on).agg(
+            *[F.sum(name).alias(name) for name in values], F.count(F.lit(1)).alias("__rows"))
+        joined = partial.join(dimension, list(on))
+        counted = F.sum("__rows")
+    return joined.groupBy(*by).agg(
+        *[F.sum(name).alias(name) for name in values], counted.alias(rows))
 
 
 def _same_types(left: DataFrame, right: DataFrame, keys: list[str]) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from etlkit.operators.sizing import hot_keys, is_hot, row_salt, salts_for
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+TIES = 1 << 20
 
 
 def partition_summary(df: DataFrame, label: str = "") -> DataFrame:
@@ -70,14 +71,26 @@ def range_layout(
 ) -> DataFrame:
     """Range-partition and sort by ``columns``, so files cover narrow value ranges.
 
-    The row's hash is the last range key: a value holding many rows is split over
+    The last range key is a salt, which differs between rows and between copies of
+    a row in different input partitions: a value holding many rows is split over
     several partitions instead of filling one.
     """
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    by = [*[F.col(c) for c in columns], tie]
-    ranged = (df.repartitionByRange(partitions, *by) if partitions
-              else df.repartitionByRange(*by))
-    return ranged.sortWithinPartitions(*columns)
+    by = [*columns, "__tie"]
+    salted = df.withColumn("__tie", row_salt(df, TIES))
+    ranged = (salted.repartitionByRange(partitions, *by) if partitions
+              else salted.repartitionByRange(*by))
+    return ranged.sortWithinPartitions(*columns).drop("__tie")
+
+
+# Keep many small partition values in parallel tasks; large ones are still split.
+BALANCED_WRITE = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Lay rows out for a write partitioned by ``partition_by``: a value in one task,
+    unless it is large, when adaptive execution splits it. Write it under
+    ``options(spark, BALANCED_WRITE)``."""
+    return df.hint("rebalance", *partition_by)
 
 
 def stored_bytes(df: DataFrame) -> int:

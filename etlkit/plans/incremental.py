@@ -8,7 +8,9 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from etlkit.operators.layout import BALANCED_WRITE, balanced
 from etlkit.operators.reuse import observed, staged
+from etlkit.session import options
 
 BATCH = "load_batch"
 
@@ -93,8 +95,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
     ``df`` must not read ``path``; pass it through ``staged`` first if it does.
     """
-    (df.hint("rebalance", *partition_by).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    writer = balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    with options(df.sparkSession, BALANCED_WRITE):
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def merge_into_partitions(

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from etlkit.operators.bands import band_join
 from etlkit.operators.columns import first_match
-from etlkit.operators.joins import equi_join, hot_key_split_join, salt_sides, salted_join
-from etlkit.operators.metrics import aggregate_metrics, exact_sum, top_k
-from etlkit.operators.sizing import broadcast_if_small
+from etlkit.operators.joins import (
+    equi_join, hot_key_split_join, join_aggregate, salt_sides, salted_join,
+)
+from etlkit.operators.metrics import exact_sum, top_k
+from etlkit.operators.sizing import broadcast_if_small, shuffle_partitions
 from etlkit.queries.registry import query, table
 from etlkit.sources.catalog import write_bucketed
 from etlkit.sources.tables import values_lookup, write_path
@@ -38,19 +40,19 @@ FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 
 @query("flagship_revenue", f"""
-SELECT p_brand, CAST(sum({NET_SQL}) AS DOUBLE) AS net_sum, count(l_orderkey) AS l_orderkey_count
+SELECT p_brand, CAST(sum({NET_SQL}) AS DOUBLE) AS net, count(*) AS lines
 FROM lineitem JOIN part ON l_partkey = p_partkey
 WHERE l_quantity > 10
-GROUP BY p_brand ORDER BY net_sum DESC, p_brand LIMIT 20""")
+GROUP BY p_brand ORDER BY net DESC, p_brand LIMIT 20""")
 def flagship_revenue(spark, sf):
     """Filter, join parts (broadcast if measured small), revenue by brand, top 20."""
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    lines = table(spark, sf, "lineitem").filter("l_quantity > 10").select(
-        "l_partkey", "l_orderkey", net().cast("decimal(18,4)").alias("net"))
-    joined = equi_join(lines, parts, "l_partkey", strategy="broadcast")
-    by_brand = aggregate_metrics(joined, ["p_brand"], {"net": "sum", "l_orderkey": "count"})
-    revenue = by_brand.withColumn("net_sum", F.col("net_sum").cast("double"))
-    return top_k(revenue, 20, F.col("net_sum").desc(), "p_brand")
+    lines = table(spark, sf, "lineitem").filter("l_quantity > 10")
+    by_brand = join_aggregate(
+        lines, parts, ["l_partkey"], ["p_brand"],
+        {"net": net().cast("decimal(18,4)")}, rows="lines")
+    revenue = by_brand.withColumn("net", F.col("net").cast("double"))
+    return top_k(revenue, 20, F.col("net").desc(), "p_brand")
 
 
 @query("join_auto", """
@@ -87,24 +89,24 @@ FROM orders JOIN (VALUES (1, 0.0, 100000.0, 'bronze'), (2, 100000.0, 300000.0, '
                          (3, 300000.0, 1000000.0, 'gold')) AS b(band_id, min_amount, max_amount, tier)
   ON o_totalprice >= min_amount AND o_totalprice < max_amount""")
 def join_band(spark, sf):
-    bands = spark.createDataFrame(BANDS, BAND_SCHEMA)
+    bands = values_lookup(spark, BANDS, BAND_SCHEMA)
     return band_join(orders(spark, sf), "o_totalprice", bands, "min_amount", "max_amount").select(
         "o_orderkey", "o_totalprice", "band_id", "tier")
 
 
-@query("join_band_wide", """
-WITH b AS (SELECT p_partkey, p_retailprice * 20 AS low, p_retailprice * 20 + p_size AS high FROM part)
-SELECT p_partkey, count(*) AS lines, min(l_extendedprice) AS low_price, max(l_extendedprice) AS high_price
-FROM lineitem JOIN b ON l_extendedprice >= low AND l_extendedprice < high GROUP BY p_partkey""")
-def join_band_wide(spark, sf):
-    """One band per part, overlapping and of many widths: joined by shuffle on bins."""
-    low = F.col("p_retailprice") * 20
+@query("join_band_many", """
+WITH b AS (SELECT p_partkey, p_partkey * 8 AS low, p_partkey * 8 + 1 + p_size % 8 AS high FROM part)
+SELECT p_partkey, count(*) AS orders, max(o_totalprice) AS highest
+FROM orders JOIN b ON o_orderkey >= low AND o_orderkey < high GROUP BY p_partkey""")
+def join_band_many(spark, sf):
+    """One disjoint band per part, of eight widths: joined by shuffle on bins."""
+    low = F.col("p_partkey") * 8
     bands = table(spark, sf, "part").select(
-        "p_partkey", low.alias("low"), (low + F.col("p_size")).alias("high"))
-    lines = table(spark, sf, "lineitem").select("l_extendedprice")
-    return band_join(lines, "l_extendedprice", bands, "low", "high").groupBy("p_partkey").agg(
-        F.count(F.lit(1)).alias("lines"), F.min("l_extendedprice").alias("low_price"),
-        F.max("l_extendedprice").alias("high_price"))
+        "p_partkey", low.alias("low"), (low + 1 + F.col("p_size") % 8).alias("high"))
+    joined = band_join(
+        orders(spark, sf).select("o_orderkey", "o_totalprice"), "o_orderkey", bands, "low", "high")
+    return joined.groupBy("p_partkey").agg(
+        F.count(F.lit(1)).alias("orders"), F.max("o_totalprice").alias("highest"))
 
 
 @query("join_star3", f"""
@@ -149,9 +151,9 @@ def join_dpp(spark, sf):
 def bucketed_join(spark, sf):
     """Both sides bucketed on (key, salt): joined without a shuffle, no bucket holds a hot key."""
     left, right = salt_sides(orders(spark, sf), customers(spark, sf), ["o_custkey"])
-    keys, run = ["o_custkey", "salt"], uuid4().hex
-    fact = write_bucketed(left, f"orders_{run}", keys, 8)
-    dim = write_bucketed(right, f"customers_{run}", keys, 8)
+    keys, buckets, run = ["o_custkey", "salt"], shuffle_partitions(left), uuid4().hex
+    fact = write_bucketed(left, f"orders_{run}", keys, buckets)
+    dim = write_bucketed(right, f"customers_{run}", keys, buckets)
     return fact.join(dim.hint("merge"), keys).drop("salt")
 
 
@@ -198,7 +200,8 @@ def join_hot_key_split(spark, sf):
     return hot_key_split_join(hub_orders(spark, sf), hubs(spark, sf), ["hub"])
 
 
-WEIGHTS = {"1-URGENT": 1.5, "2-HIGH": 1.2, "3-MEDIUM": 1.0, "5-LOW": 0.5}
+WEIGHTS = [("1-URGENT", 1.5), ("2-HIGH", 1.2), ("3-MEDIUM", 1.0), ("5-LOW", 0.5)]
+WEIGHT_SCHEMA = "o_orderpriority string, multiplier double"
 WEIGHTS_SQL = """(VALUES ('1-URGENT', CAST(1.5 AS DOUBLE)), ('2-HIGH', CAST(1.2 AS DOUBLE)),
                          ('3-MEDIUM', CAST(1.0 AS DOUBLE)), ('5-LOW', CAST(0.5 AS DOUBLE)))
                  AS w(o_orderpriority, multiplier)"""
@@ -208,7 +211,7 @@ WEIGHTS_SQL = """(VALUES ('1-URGENT', CAST(1.5 AS DOUBLE)), ('2-HIGH', CAST(1.2
 SELECT o.o_orderkey, o.o_totalprice * w.multiplier AS weighted
 FROM orders o JOIN {WEIGHTS_SQL} ON o.o_orderpriority = w.o_orderpriority""")
 def join_weighted(spark, sf):
-    weights = values_lookup(spark, WEIGHTS, "o_orderpriority", "multiplier")
+    weights = values_lookup(spark, WEIGHTS, WEIGHT_SCHEMA)
     joined = table(spark, sf, "orders").join(F.broadcast(weights), "o_orderpriority")
     return joined.select(
         "o_orderkey", (F.col("o_totalprice") * F.col("multiplier")).alias("weighted"))
@@ -219,7 +222,7 @@ SELECT w.o_orderpriority, w.multiplier, count(*) AS orders
 FROM orders o JOIN {WEIGHTS_SQL} ON o.o_orderpriority = w.o_orderpriority
 GROUP BY w.o_orderpriority, w.multiplier""")
 def values_lookup_query(spark, sf):
-    weights = values_lookup(spark, WEIGHTS, "o_orderpriority", "multiplier")
+    weights = values_lookup(spark, WEIGHTS, WEIGHT_SCHEMA)
     counted = table(spark, sf, "orders").groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("orders"))
     return counted.join(F.broadcast(weights), "o_orderpriority")

@@ -192,6 +192,14 @@ def _lines(spark, sf):
     return table(spark, sf, "lineitem").select("l_returnflag", "l_suppkey", "l_extendedprice")
 
 
+def _tasks(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _spread(spark, sf):
+    return spread_evenly(_lines(spark, sf), 2 * _tasks(spark))
+
+
 def _layout_totals(df):
     return df.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("lines"), exact_sum(F.col("l_extendedprice")).alias("price"))
@@ -199,12 +207,12 @@ def _layout_totals(df):
 
 @query("layout_round_robin", LAYOUT_SQL)
 def layout_round_robin(spark, sf):
-    return _layout_totals(spread_evenly(_lines(spark, sf), 16))
+    return _layout_totals(_spread(spark, sf))
 
 
 @query("layout_coalesce", LAYOUT_SQL)
 def layout_coalesce(spark, sf):
-    return _layout_totals(spread_evenly(_lines(spark, sf), 16).coalesce(4))
+    return _layout_totals(_spread(spark, sf).coalesce(_tasks(spark)))
 
 
 @query("layout_by_key", """
@@ -221,7 +229,7 @@ def layout_by_key(spark, sf):
 
 @query("partition_summary")
 def partition_summary_query(spark, sf):
-    return partition_summary(spread_evenly(_lines(spark, sf), 16), "lineitem")
+    return partition_summary(_spread(spark, sf), "lineitem")
 
 
 @query("skew_profile", """

@@ -11,7 +11,7 @@ from etlkit.operators.layout import compacted
 from etlkit.operators.reuse import observed
 from etlkit.queries.registry import query, table
 from etlkit.settings import WarehouseSettings
-from etlkit.sources.catalog import collect_stats, register_external_table
+from etlkit.sources.catalog import collect_stats, drop_table, register_external_table
 from etlkit.sources.fanout import fan_out
 from etlkit.sources.tables import (
     TableStore, describe_columns, range_rows, read_path, write_path,
@@ -57,7 +57,10 @@ def table_metadata(spark, sf):
 def table_stats(spark, sf):
     name = f"stats_{uuid4().hex}"
     register_external_table(spark, name, f"{sf}/orders.parquet")
-    return collect_stats(spark, [name])
+    try:
+        return collect_stats(spark, [name]).withColumn("table_name", F.lit("orders"))
+    finally:
+        drop_table(spark, name)
 
 
 @query("json_roundtrip", """
@@ -210,6 +213,7 @@ def format_roundtrip(spark, sf):
 @query("compact_files", "SELECT * FROM orders")
 def compact_files(spark, sf):
     scattered, packed = new_path(spark, "scattered"), new_path(spark, "packed")
-    write_path(table(spark, sf, "orders").repartition(32), scattered)
+    pieces = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_path(table(spark, sf, "orders").repartition(pieces), scattered)
     write_path(compacted(spark.read.parquet(scattered), ["o_orderdate"]), packed)
     return spark.read.parquet(packed)

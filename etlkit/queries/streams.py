@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from etlkit.operators.metrics import exact_sum
+from etlkit.operators.sizing import hot_keys
 from etlkit.queries.registry import query, table
 from etlkit.streaming.files import latest_rows, stream_files, write_batches, write_stream
 from etlkit.streaming.state import merge_totals, running_totals
@@ -110,7 +111,8 @@ SELECT user_id AS key, count(*) AS events,
        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM events GROUP BY user_id""")
 def stream_state_running_total(spark, sf):
-    totals = running_totals(events_stream(spark, sf), "user_id", "value", "event_id")
+    busy = hot_keys(table(spark, sf, "events"), ["user_id"])
+    totals = running_totals(events_stream(spark, sf), "user_id", "value", "event_id", busy)
     parts = _updates(spark, totals, "stream-totals", ["key", "salt"])
     return merge_totals(parts)
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -65,3 +66,19 @@ def restart_session(
     """Stop the active session and build a new one."""
     stop_session()
     return build_session(app_name, overrides)
+
+
+@contextmanager
+def options(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """SQL options for the jobs and streams started in the block, restored after it."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

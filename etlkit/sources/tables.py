@@ -6,10 +6,11 @@ import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from etlkit.operators.layout import range_layout
+from etlkit.operators.layout import BALANCED_WRITE, balanced, range_layout
 from etlkit.operators.reuse import observed
+from etlkit.session import options as session_options
 from etlkit.settings import WarehouseSettings
 
 FILE_FORMATS = ("parquet", "orc", "json", "csv")
@@ -114,7 +115,7 @@ class TableStore:
 
         ``partition_by`` makes one partition per day of that column, in a column
         ``<name>_partition_day``. ``cluster_by`` sorts rows so that files cover narrow ranges.
-        A busy day is split over several files and small days share a task.
+        A busy day is split over several files.
         """
         if mode not in MODES:
             raise ValueError(f"unknown write mode {mode!r}, expected one of {MODES}")
@@ -134,12 +135,13 @@ class TableStore:
         writer = writer.mode(mode).options(**options)
         if partition_by and (self.by_path or self.format == "table"):
             writer = writer.partitionBy(day_column(partition_by))
-        if self.format == "table":
-            writer.saveAsTable(target)
-        elif self.by_path:
-            writer.save(self.path(table_id))
-        else:
-            writer.save()
+        with session_options(self.spark, BALANCED_WRITE if partition_by else {}):
+            if self.format == "table":
+                writer.saveAsTable(target)
+            elif self.by_path:
+                writer.save(self.path(table_id))
+            else:
+                writer.save()
         return {"table": target, "mode": mode, **rows.get}
 
     def get_table_schema(self, table_id: str) -> DataFrame:
@@ -198,8 +200,7 @@ def daily_layout(
         df = df.withColumn(day[0], F.to_date(partition_by))
     if cluster_by:
         return range_layout(df, [*day, *cluster_by])
-    # Adaptive execution merges small days and splits large ones before the write.
-    return df.hint("rebalance", *day) if day else df
+    return balanced(df, day) if day else df
 
 
 def read_path(spark: SparkSession, path: str, format: str = "parquet", schema: Any = None,
@@ -216,10 +217,11 @@ def write_path(df: DataFrame, path: str, format: str = "parquet", mode: str = "o
     Partitioned output is balanced first, so a task does not open every partition
     and no partition value fills a single task.
     """
-    out = df.hint("rebalance", *partition_by) if partition_by else df
+    out = balanced(df, partition_by) if partition_by else df
     counted, rows = observed(out, f"write {path}")
     writer = counted.write.format(format).mode(mode).options(**options)
-    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+    with session_options(df.sparkSession, BALANCED_WRITE if partition_by else {}):
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
     return {"path": path, "mode": mode, **rows.get}
 
 
@@ -228,9 +230,15 @@ def range_rows(spark: SparkSession, rows: int, **columns) -> DataFrame:
     return spark.range(rows).withColumns(columns) if columns else spark.range(rows)
 
 
-def values_lookup(spark: SparkSession, entries: Mapping[str, float], key: str, value: str) -> DataFrame:
-    """A small inline lookup table; its size is fixed by the caller's code."""
-    markers = ", ".join(f"(:k{i}, CAST(:v{i} AS DOUBLE))" for i in range(len(entries)))
-    args = {f"k{i}": k for i, k in enumerate(entries)}
-    args.update({f"v{i}": float(v) for i, v in enumerate(entries.values())})
-    return spark.sql(f"SELECT * FROM VALUES {markers} AS t({key}, {value})", args=args)
+def values_lookup(spark: SparkSession, rows: Sequence[Sequence[Any]], schema: str) -> DataFrame:
+    """A small inline table as SQL ``VALUES``; its size is fixed by the caller's code.
+
+    ``schema`` is like ``"band_id int, low double"``.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    args = {f"v{i}_{j}": value for i, row in enumerate(rows) for j, value in enumerate(row)}
+    listed = ", ".join(
+        "(" + ", ".join(f":v{i}_{j}" for j in range(len(fields))) + ")" for i in range(len(rows)))
+    names = ", ".join(f.name for f in fields)
+    values = spark.sql(f"SELECT * FROM VALUES {listed} AS t({names})", args=args)
+    return values.select(*[F.col(f.name).cast(f.dataType) for f in fields])

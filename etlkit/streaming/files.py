@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from etlkit.session import options
+
 BATCH = "batch_id"
 
 
@@ -31,6 +33,12 @@ def with_event_time(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("timestamp"))
 
 
+# A busy key's events merge to sessions in each task before they are shuffled.
+LOCAL_SESSION_MERGE = {
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
+
 def _trigger(writer, trigger: dict[str, Any] | None):
     return writer.trigger(**(trigger or {"availableNow": True}))
 
@@ -86,8 +94,11 @@ def for_each_batch(
     output_mode: str = "update",
     trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
+    """Hand each micro-batch to ``save(batch, batch_id)``, which must be safe to repeat."""
     writer = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
-    return _finish(_trigger(writer.foreachBatch(save), trigger).start(), trigger)
+    with options(df.sparkSession, LOCAL_SESSION_MERGE):
+        query = _trigger(writer.foreachBatch(save), trigger).start()
+    return _finish(query, trigger)
 
 
 def latest_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:

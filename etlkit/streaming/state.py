@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from etlkit.operators.sizing import is_hot, salts_for
+
 TOTALS_SCHEMA = "key long, salt int, events long, total_cents long"
 
 
@@ -23,14 +25,19 @@ def _add_to_totals(
                         "events": [events], "total_cents": [cents]})
 
 
-def running_totals(df: DataFrame, key: str, value: str, row_id: str, salts: int = 8) -> DataFrame:
+def running_totals(
+    df: DataFrame, key: str, value: str, row_id: str,
+    hot: dict[int, float] | None = None, salts: int | None = None,
+) -> DataFrame:
     """Running event count and exact total of ``value`` per key, emitted on each update.
 
-    State is kept per (key, salt) so that a busy key is shared by several tasks;
-    ``merge_totals`` adds the parts up. Amounts travel as whole cents.
+    ``hot`` names busy keys (see ``hot_keys``, run on stored events): their state is
+    kept per (key, salt) so that several tasks share them. ``merge_totals`` adds the
+    parts up, also when a later run salts differently. Amounts travel as whole cents.
     """
     cents = F.round(F.col(value) * 100).cast("long")
-    salt = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
+    spread = F.pmod(F.xxhash64(row_id), F.lit(salts or salts_for(df, hot or {}))).cast("int")
+    salt = F.when(is_hot(df, [key], hot or {}), spread).otherwise(F.lit(0))
     rows = df.select(F.col(key).cast("long").alias("key"), salt.alias("salt"), cents.alias("cents"))
     return rows.groupBy("key", "salt").applyInPandasWithState(
         _add_to_totals, TOTALS_SCHEMA, "events long, cents long", "update",

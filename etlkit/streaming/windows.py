@@ -46,16 +46,11 @@ def session_aggregate(
 ) -> DataFrame:
     """Metrics per key and session, a session ending after ``gap`` without events.
 
-    Sessions are merged per task before the shuffle, so a busy key sends sessions
-    rather than events (see ``LOCAL_SESSION_MERGE``).
+    Queries started through ``streaming.files`` merge sessions per task before the
+    shuffle, so a busy key sends sessions rather than events.
     """
     timed = with_event_time(df, time_column)
     if watermark:
         timed = timed.withWatermark(time_column, watermark)
     window = F.session_window(time_column, gap).alias("window")
     return _flatten(timed.groupBy(*keys, window).agg(*metrics))
-
-
-LOCAL_SESSION_MERGE = {
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-}
