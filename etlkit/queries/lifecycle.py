@@ -52,8 +52,8 @@ def etl_run(spark, sf):
     target = store(spark, new_path(spark, "etl"))
     target.write_table(raw_orders(spark, sf), "raw_orders")
     EtlJob(target, load_timestamp=LOADED).run(
-        "raw_orders", "clean_orders", "Status <> 'P'", partition_by="order_date")
-    return _plain_time(target.read_table("clean_orders")).drop("order_date_partition_day")
+        "raw_orders", "clean_orders", "Status <> 'P'", partition_by="load_timestamp")
+    return _plain_time(target.read_table("clean_orders")).drop("load_timestamp_partition_day")
 
 
 @query("incremental_load", "SELECT * FROM orders")

@@ -125,13 +125,12 @@ def write_modes(spark, sf):
     raise AssertionError("writing over an existing table in mode 'error' must fail")
 
 
-@query("write_daily_partitions", """
-SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders""")
+@query("write_daily_partitions", "SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events")
 def write_daily_partitions(spark, sf):
-    orders, target = table(spark, sf, "orders"), store(spark, new_path(spark, "daily"))
-    target.write_table(orders, "orders", partition_by="o_orderdate")
-    stored = target.read_table("orders")
-    return stored.select(*orders.columns, F.col("o_orderdate_partition_day").cast("string").alias("day"))
+    events, target = table(spark, sf, "events"), store(spark, new_path(spark, "daily"))
+    target.write_table(events, "events", partition_by="ts")
+    stored = target.read_table("events")
+    return stored.select(*events.columns, F.col("ts_partition_day").cast("string").alias("day"))
 
 
 @query("write_clustered", """

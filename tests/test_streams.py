@@ -1,0 +1,117 @@
+import pytest
+from pyspark.sql import functions as F
+
+from etlkit.operators.sizing import hot_keys
+from etlkit.queries.streams import counts
+from etlkit.streaming.files import (
+    for_each_batch, latest_rows, stream_files, write_batches, write_stream,
+)
+from etlkit.streaming.state import merge_totals, running_totals
+from etlkit.streaming.windows import session_aggregate, windowed_aggregate
+
+
+@pytest.fixture
+def events(tables):
+    return tables("events")
+
+
+@pytest.fixture
+def split(events, tmp_path):
+    """The events in four files, as a stream of several micro-batches."""
+    events.repartition(4).write.parquet(f"{tmp_path}/in")
+    return f"{tmp_path}/in"
+
+
+def several(spark, path, schema):
+    return stream_files(spark, path, schema, maxFilesPerTrigger=1)
+
+
+def test_restart_adds_nothing_and_then_only_new_files(spark, events, split, tmp_path):
+    def run():
+        stream = several(spark, split, events.schema)
+        write_stream(stream, f"{tmp_path}/out", f"{tmp_path}/cp")
+        return spark.read.parquet(f"{tmp_path}/out").count()
+
+    assert run() == 1000
+    assert run() == 1000
+    events.limit(7).write.mode("append").parquet(split)
+    assert run() == 1007
+
+
+def test_many_batches_equal_one_batch_query(spark, events, split, tmp_path):
+    hourly = windowed_aggregate(
+        several(spark, split, events.schema), "ts", counts(), "1 hour", keys=["event_type"],
+        watermark="40 days")
+    write_batches(hourly, f"{tmp_path}/out", f"{tmp_path}/cp", "update")
+    keys = ["window_start", "window_end", "event_type"]
+    streamed = latest_rows(spark, f"{tmp_path}/out", hourly.schema, keys)
+    batch = windowed_aggregate(events, "ts", counts(), "1 hour", keys=["event_type"])
+    assert set(streamed.collect()) == set(batch.select(*streamed.columns).collect())
+
+
+def test_replayed_batch_replaces_itself(spark, events, split, tmp_path):
+    stream = several(spark, split, events.schema).groupBy("user_id").count()
+
+    def twice(batch, batch_id):
+        for _ in range(2):
+            batch.write.mode("overwrite").parquet(f"{tmp_path}/out/batch_id={batch_id}")
+
+    for_each_batch(stream, twice, f"{tmp_path}/cp")
+    rows = latest_rows(spark, f"{tmp_path}/out", stream.schema, ["user_id"])
+    assert set(rows.collect()) == set(events.groupBy("user_id").count().collect())
+
+
+def test_append_mode_withholds_open_windows(spark, events, split, tmp_path):
+    hourly = windowed_aggregate(
+        stream_files(spark, split, events.schema), "ts", counts(), "1 hour", watermark="2 days")
+    write_stream(hourly, f"{tmp_path}/out", f"{tmp_path}/cp")
+    closed = spark.read.parquet(f"{tmp_path}/out")
+    last = events.agg(F.max("ts")).first()[0]
+    assert 0 < closed.count() < windowed_aggregate(events, "ts", counts(), "1 hour").count()
+    assert (last - closed.agg(F.max("window_end")).first()[0]).days >= 1
+
+
+def test_state_is_the_same_salted_or_not(spark, events, split, tmp_path):
+    expected = {tuple(r) for r in events.groupBy("user_id").agg(
+        F.count(F.lit(1)), F.sum(F.col("value").cast("decimal(18,2)")).cast("double")).collect()}
+    for label, hot in (("plain", {}), ("salted", hot_keys(events, ["user_id"], 0.01))):
+        totals = running_totals(
+            several(spark, split, events.schema), "user_id", "value", "event_id", hot, 3)
+        write_batches(totals, f"{tmp_path}/{label}", f"{tmp_path}/cp-{label}", "update")
+        parts = latest_rows(spark, f"{tmp_path}/{label}", totals.schema, ["key", "salt"])
+        assert parts.select("salt").distinct().count() == (3 if hot else 1)
+        assert {tuple(r) for r in merge_totals(parts).collect()} == expected
+
+
+def test_empty_stream(spark, events, tmp_path):
+    events.limit(0).write.parquet(f"{tmp_path}/in")
+    stream = stream_files(spark, f"{tmp_path}/in", events.schema)
+    write_stream(stream, f"{tmp_path}/out", f"{tmp_path}/cp")
+    assert spark.read.schema(events.schema).parquet(f"{tmp_path}/out").count() == 0
+
+
+def test_processing_time_trigger(spark, events, split, tmp_path):
+    query = write_stream(several(spark, split, events.schema), f"{tmp_path}/out",
+                         f"{tmp_path}/cp", trigger={"processingTime": "0 seconds"})
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 1000
+
+
+def test_sessions_of_a_batch(spark):
+    df = spark.createDataFrame(
+        [(1, "2024-01-01 00:00:00"), (1, "2024-01-01 00:05:00"), (1, "2024-01-01 01:00:00"),
+         (2, "2024-01-01 00:02:00")], "u int, ts string").withColumn("ts", F.to_timestamp("ts"))
+    sessions = session_aggregate(df, "ts", [F.count(F.lit(1)).alias("n")], "10 minutes", ["u"])
+    assert sorted((r.u, r.n, str(r.window_end)) for r in sessions.collect()) == [
+        (1, 1, "2024-01-01 01:10:00"), (1, 2, "2024-01-01 00:15:00"),
+        (2, 1, "2024-01-01 00:12:00")]
+
+
+def test_start_options_do_not_leak(spark, events, split, tmp_path):
+    name = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(name, None)
+    stream = several(spark, split, events.schema).groupBy("user_id").count()
+    write_batches(stream, f"{tmp_path}/out", f"{tmp_path}/cp", "complete")
+    assert spark.conf.get(name, None) == before
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 15
