@@ -41,8 +41,8 @@ def skew_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.percentile("rows", F.lit(0.5), F.col("keys")).alias("median_rows"),
     )
     return summed.withColumns({
-        "max_share": F.round(F.col("max_rows") / F.col("total_rows"), 6),
-        "max_to_median": F.round(F.col("max_rows") / F.col("median_rows"), 4),
+        "max_share": F.col("max_rows") / F.col("total_rows"),
+        "max_to_median": F.col("max_rows") / F.col("median_rows"),
     })
 
 

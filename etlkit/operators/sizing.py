@@ -59,21 +59,30 @@ def key_hash(df: DataFrame, keys: list[str]) -> Column:
 def hot_keys(df: DataFrame, keys: list[str], share: float = 0.01) -> dict[int, float]:
     """Hashes of keys that hold more than ``share`` of the rows, with their share.
 
-    One scan of the key columns with a frequent-items sketch per task: nothing
-    but the sketches is shuffled. At most ``1 / share`` keys can qualify, so the
-    result is bounded. The sketch never misses a key above its error of about
-    0.03% of the rows; a key just below the threshold may be included, which is
+    One scan of the key columns with a frequent-items sketch per task. Sketches are
+    merged first by groups of tasks and then to one, so that no task receives those
+    of the whole scan; rows are not shuffled. At most ``1 / share`` keys can qualify,
+    so the result is bounded. The sketch's error is under a quarter of ``share`` and
+    never hides a hot key; a key just below the threshold may be included, which is
     harmless because hot keys are only laid out differently, never dropped.
     """
     k = math.ceil(1 / share)
-    tracked = max(10_000, 10 * k)
-    row = (
+    tracked = 12 * k
+    groups = shuffle_partitions(df)
+    merged = (
         df.select(key_hash(df, keys).alias("h"))
-        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {k}, {tracked})").alias("top"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(groups)).alias("tasks"))
+        .agg(F.count(F.lit(1)).alias("n"),
+             F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"))
+        .groupBy(F.lit("all").alias("tasks"))
+        .agg(F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+        .select("n", F.expr(f"approx_top_k_estimate(sketch, {k})").alias("top"))
         .first()
     )
-    total = row["n"]
-    return {t["item"]: t["count"] / total for t in row["top"] or [] if t["count"] > share * total}
+    if merged is None:
+        return {}
+    total = merged["n"]
+    return {t["item"]: t["count"] / total for t in merged["top"] if t["count"] > share * total}
 
 
 def shuffle_partitions(df: DataFrame) -> int:

@@ -236,8 +236,8 @@ def partition_summary_query(spark, sf):
 WITH k AS (SELECT l_suppkey, count(*) AS rows FROM lineitem GROUP BY l_suppkey)
 SELECT count(*) AS distinct_keys, CAST(sum(rows) AS BIGINT) AS total_rows, max(rows) AS max_rows,
        quantile_cont(CAST(rows AS DOUBLE), 0.5) AS median_rows,
-       round(max(rows) / sum(rows), 6) AS max_share,
-       round(max(rows) / quantile_cont(CAST(rows AS DOUBLE), 0.5), 4) AS max_to_median
+       max(rows) / sum(rows) AS max_share,
+       max(rows) / quantile_cont(CAST(rows AS DOUBLE), 0.5) AS max_to_median
 FROM k""")
 def skew_profile_query(spark, sf):
     return skew_profile(table(spark, sf, "lineitem"), ["l_suppkey"])

@@ -174,14 +174,15 @@ SELECT 'suppliers' AS target, CAST(l_suppkey AS VARCHAR) AS label, count(*) AS l
 FROM lineitem WHERE l_quantity > 5 GROUP BY l_suppkey
 UNION ALL SELECT 'flags', l_returnflag, count(*) FROM lineitem WHERE l_quantity > 5 GROUP BY l_returnflag""")
 def fanout_write(spark, sf):
-    shared = table(spark, sf, "lineitem").filter("l_quantity > 5").select(
-        F.col("l_suppkey").cast("string").alias("suppliers"), F.col("l_returnflag").alias("flags"))
+    """One costly aggregate, kept on the executors, feeds both destinations."""
+    shared = table(spark, sf, "lineitem").filter("l_quantity > 5").groupBy(
+        F.col("l_suppkey").cast("string").alias("suppliers"), F.col("l_returnflag").alias("flags")
+    ).agg(F.count(F.lit(1)).alias("n"))
 
     def writer(column):
         def write(df):
             path = new_path(spark, f"fanout-{column}")
-            counted = df.groupBy(F.col(column).alias("label")).agg(
-                F.count(F.lit(1)).alias("lines"))
+            counted = df.groupBy(F.col(column).alias("label")).agg(F.sum("n").alias("lines"))
             write_path(counted, path)
             return path
         return write

@@ -147,11 +147,17 @@ class TableStore:
     def get_table_schema(self, table_id: str) -> DataFrame:
         """One row per column: table, rows, bytes, times, column name, type, mode, description.
 
-        Rows are counted from file footers; other table facts are null where the
-        format keeps none.
+        Facts a format does not keep are null. For files the size and the newest
+        modification time are read in one job.
         """
         df = self.read_table(table_id)
         facts: dict[str, Any] = {}
+        if self.by_path:
+            files = df.select("_metadata.file_path", "_metadata.file_size",
+                              "_metadata.file_modification_time").distinct()
+            found = files.agg(F.sum("file_size").alias("bytes"),
+                              F.max("file_modification_time").alias("modified")).first()
+            facts = {"bytes": found["bytes"], "modified": str(found["modified"])}
         if self.format == "table":
             text = self.spark.sql(
                 f"DESCRIBE EXTENDED {self.resolve(table_id)} AS JSON").first()[0]

@@ -86,6 +86,15 @@ def test_catalog_tables(spark, tables):
     assert "regions_t" not in list_tables(spark)
 
 
+def test_file_table_facts(store, tables):
+    store.write_table(tables("nation"), "n")
+    rows = store.get_table_schema("n").collect()
+    assert {(r.table_id, r.num_rows) for r in rows} == {("p.d.n", 25)}
+    assert rows[0].num_bytes > 500 and rows[0].modified.startswith("20")
+    store.write_table(tables("region"), "other.d.r")
+    assert store.get_table_schema("other.d.r").first().table_id == "other.d.r"
+
+
 def test_connector_options(spark):
     store = TableStore(spark, WarehouseSettings(format="warehouse", project="p", temp_bucket="b"))
     assert store._connector_options(table="p.d.t", partitionField=None) == {
