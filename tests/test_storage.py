@@ -1,6 +1,7 @@
 import glob
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -69,7 +70,11 @@ def test_daily_and_clustered_write(store, tables, tmp_path):
     store.write_table(events, "e", partition_by="ts", cluster_by=["user_id"])
     days = glob.glob(f"{tmp_path}/p/d/e/ts_partition_day=*")
     assert len(days) == events.select(F.to_date("ts")).distinct().count()
-    assert store.read_table("e").drop("ts_partition_day").exceptAll(events).count() == 0
+    stored = store.read_table("e")
+    assert stored.drop("ts_partition_day").exceptAll(events).count() == 0
+    for path in glob.glob(f"{tmp_path}/p/d/e/*/*.parquet"):
+        users = pq.read_table(path, columns=["user_id"])["user_id"].to_pylist()
+        assert users == sorted(users)
 
 
 def test_catalog_tables(spark, tables):
