@@ -21,8 +21,8 @@ def _add_to_totals(
         events += len(batch)
         cents += int(batch["cents"].sum())
     state.update((events, cents))
-    yield pd.DataFrame({"key": [group[0]], "salt": [group[1]],
-                        "events": [events], "total_cents": [cents]})
+    key = pd.array([None if pd.isna(group[0]) else group[0]], dtype="Int64")
+    yield pd.DataFrame({"key": key, "salt": [group[1]], "events": [events], "total_cents": [cents]})
 
 
 def running_totals(
