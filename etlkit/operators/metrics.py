@@ -40,8 +40,15 @@ def aggregate_metrics(
 
 
 def exact_sum(value: Column, scale: int = 2) -> Column:
-    """Sum of doubles that does not depend on row order: add as decimals, give a double."""
-    return F.sum(value.cast(f"decimal(18,{scale})")).cast("double")
+    """Sum of doubles to ``scale`` decimals that does not depend on row order.
+
+    Whole units are added as integers, which stays in generated code, and in two
+    parts so that no row count overflows them.
+    """
+    units = F.rint(value * F.lit(float(10**scale))).cast("long")
+    high = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1)))
+    return (high * F.lit(1 << 20) + low).cast("double") / F.lit(float(10**scale))
 
 
 def count_where(**conditions: Column) -> list[Column]:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from etlkit.operators.layout import BALANCED_WRITE, balanced
 from etlkit.operators.reuse import observed, staged
 from etlkit.session import options
+from etlkit.workspace import file_system
 
 BATCH = "load_batch"
 
@@ -126,10 +127,9 @@ def merge_into_partitions(
     located = base.select(partition_by, folder.alias("folder")).join(emptied, partition_by)
     stale = [r["folder"] for r in located.select("folder").distinct().collect()]
     overwrite_partitions(result, path, [partition_by])
-    jvm = spark.sparkContext._jvm
     for uri in stale:
-        target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        system, folder_path = file_system(spark, uri)
+        system.delete(folder_path, True)
 
 
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:

@@ -254,14 +254,13 @@ def wide_lines(spark, sf):
     return (
         equi_join(equi_join(lines, parts, "l_partkey", strategy="broadcast"),
                   places, "l_suppkey", strategy="broadcast")
-        .select("region", "category", tier.alias("tier"),
-                F.col("amount").cast("decimal(18,4)").alias("net"))
+        .select("region", "category", tier.alias("tier"), "amount")
     )
 
 
 def _by(spark, sf, column):
     return wide_lines(spark, sf).groupBy(column).agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("net").cast("double").alias("net_amount"))
+        F.count(F.lit(1)).alias("lines"), exact_sum(F.col("amount"), 4).alias("net_amount"))
 
 
 def _by_sql(column: str) -> str:
@@ -295,7 +294,8 @@ def diamond_one_pass(spark, sf):
     Rows first collapse to one per combination of the three columns.
     """
     combined = wide_lines(spark, sf).groupBy("region", "tier", "category").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("net").alias("net"))
+        F.count(F.lit(1)).alias("n"),
+        exact_sum(F.col("amount"), 4).cast("decimal(28,4)").alias("net"))
     labels = F.explode(F.create_map(
         F.lit("region"), "region", F.lit("tier"), "tier", F.lit("category"), "category"))
     return combined.select(labels.alias("dimension", "label"), "n", "net").groupBy(

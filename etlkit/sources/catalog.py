@@ -26,9 +26,9 @@ def register_external_table(
 
 
 def write_bucketed(
-    df: DataFrame, name: str, keys: Sequence[str], buckets: int, label: str = "bucketed"
+    df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None
 ) -> DataFrame:
-    """Write a bucketed, sorted table into the shared folder and return it as a table.
+    """Write a bucketed, sorted table and return it; without ``path`` it lasts for the run.
 
     Rows are first hash-partitioned into as many tasks as there are buckets, with
     the same hash, so that each task writes one bucket file. Tables joined on the
@@ -36,7 +36,7 @@ def write_bucketed(
     ``salt_sides``) and bucket by key and salt.
     """
     first, *rest = keys
-    path = new_path(df.sparkSession, label)
+    path = path or new_path(df.sparkSession, "bucketed")
     (df.repartition(buckets, *keys).write.format("parquet").option("path", path)
      .bucketBy(buckets, first, *rest).sortBy(first, *rest).saveAsTable(name))
     return df.sparkSession.table(name)

@@ -13,6 +13,7 @@ from uuid import uuid4
 from pyspark.sql import SparkSession
 
 _local_roots: dict[str, str] = {}
+_run_roots: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -29,9 +30,28 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def file_system(spark: SparkSession, uri: str):
+    """(file system, path) of a location, through Spark's own Hadoop configuration."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def run_root(spark: SparkSession) -> str:
+    """This application's folder under the shared one; removed when the application ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _run_roots:
+        root = f"{shared_root(spark)}/etlkit/{app}"
+        system, path = file_system(spark, root)
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _run_roots[app] = root
+    return _run_roots[app]
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder; never returns the same path twice."""
-    return f"{shared_root(spark)}/etlkit/{label}-{uuid4().hex}"
+    """A fresh path in the application's folder; never returns the same path twice."""
+    return f"{run_root(spark)}/{label}-{uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from etlkit.operators.metrics import (
-    aggregate_metrics, count_where, distinct_counts, salted_aggregate,
+    aggregate_metrics, count_where, distinct_counts, exact_sum, salted_aggregate,
 )
 from etlkit.operators.nulls import handle_null_values, remove_duplicates
 from etlkit.operators.quality import (
@@ -87,6 +87,15 @@ def test_aggregate_metrics(spark):
         aggregate_metrics(df, ["k"], {"v": "median"})
 
 
+def test_exact_sum_of_large_small_and_negative_amounts(spark):
+    values = [0.1] * 10 + [-0.07, 1e12, -3.25, 123456789.01, -1e12, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    assert df.agg(exact_sum(F.col("v"))).first()[0] == 123456786.69
+    many = spark.range(0, 100000, 1, 4).select(F.lit(9e13).alias("v"))
+    assert many.agg(exact_sum(F.col("v"))).first()[0] == 9e18
+    assert df.limit(0).agg(exact_sum(F.col("v"))).first()[0] is None
+
+
 def test_one_pass_counts_equal_looped_counts(tables):
     events = tables("events")
     kinds = [r[0] for r in events.select("event_type").distinct().collect()]
