@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -77,12 +78,21 @@ def iterate(
 def observed(df: DataFrame, name: str, *metrics) -> tuple[DataFrame, Observation]:
     """Measure ``df`` while its next action runs; counts rows unless metrics are given.
 
-    ``observation.get`` returns the values after that action, without a second pass.
+    ``measured(observation)`` gives the values after that action, without a second pass.
     """
     observation = Observation(name)
     return df.observe(observation, *(metrics or [F.count(F.lit(1)).alias("rows")])), observation
 
 
+def measured(observation: Observation) -> dict:
+    """The observed values after the action; empty if the optimizer removed the
+    observed part of the plan because no row could pass it."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 def preview(df: DataFrame, rows: int = 20) -> list:
     """The first ``rows`` rows on the driver."""
     return df.limit(rows).collect()

@@ -12,8 +12,8 @@ from etlkit.operators.columns import (
     add_audit_columns, create_date_dimensions, standardize_column_names,
 )
 from etlkit.operators.quality import quality_report, validate_required_columns
+from etlkit.operators.reuse import measured, observed
 from etlkit.sources.tables import TableStore
-from etlkit.operators.reuse import observed
 
 logger = logging.getLogger(__name__)
 
@@ -94,7 +94,7 @@ class EtlJob:
                 report = quality_report(raw, approximate=self.quality == "approximate")
             counted, read = observed(raw, f"read {source_table}")
             written = self.load_data(self.transform_data(counted), target_table, mode, partition_by)
-            result = {"rows_in": read.get["rows"], "rows_out": written["rows"],
+            result = {"rows_in": measured(read).get("rows", 0), "rows_out": written["rows"],
                       "table": written["table"], "quality": report}
             logger.info("loaded %s: %s rows in, %s rows out", result["table"],
                         result["rows_in"], result["rows_out"])

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from etlkit.operators.layout import BALANCED_WRITE, balanced
-from etlkit.operators.reuse import observed, staged
+from etlkit.operators.reuse import measured, observed, staged
 from etlkit.session import options
 from etlkit.workspace import file_system
 
@@ -47,12 +47,14 @@ def incremental_load(
         fresh, f"load {batch}", F.count(F.lit(1)).alias("rows"),
         F.max(F.col(watermark_column)).cast("string").alias("high_watermark"))
     counted.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch}")
-    measured = load.get
-    high = measured["high_watermark"] or (last["high_watermark"] if last else None)
-    row = spark.createDataFrame(
-        [(batch, measured["rows"], high)], f"{BATCH} long, rows long, high_watermark string")
-    row.coalesce(1).write.mode("append").parquet(state)
-    return {"batch": batch, "rows": measured["rows"], "high_watermark": high}
+    found = measured(load)
+    rows, high = found.get("rows", 0), found.get("high_watermark")
+    high = high or (last["high_watermark"] if last else None)
+    row = spark.range(0, 1, 1, 1).select(
+        F.lit(batch).cast("long").alias(BATCH), F.lit(rows).cast("long").alias("rows"),
+        F.lit(high).cast("string").alias("high_watermark"))
+    row.write.mode("append").parquet(state)
+    return {"batch": batch, "rows": rows, "high_watermark": high}
 
 
 def latest_changes(changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -128,7 +130,7 @@ def merge_into_partitions(
     stale = [r["folder"] for r in located.select("folder").distinct().collect()]
     overwrite_partitions(result, path, [partition_by])
     for uri in stale:
-        system, folder_path = file_system(spark, uri)
+        system, folder_path = file_system(spark, uri, encoded=True)
         system.delete(folder_path, True)
 
 

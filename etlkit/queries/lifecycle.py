@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from etlkit.operators.reuse import iterate, observed
+from etlkit.operators.reuse import iterate, measured, observed
 from etlkit.plans.etl import EtlJob
 from etlkit.plans.incremental import (
     apply_changes, incremental_load, merge_into_partitions, overwrite_partitions, read_evolving,
@@ -153,6 +153,6 @@ def run_metadata(spark, sf):
     report = flagship_revenue(spark, sf)
     counted, seen = observed(report, "revenue report")
     counted.write.parquet(f"{base}/report")
-    record_run(spark, f"{base}/log", "flagship_revenue", report, seen.get["rows"])
+    record_run(spark, f"{base}/log", "flagship_revenue", report, measured(seen)["rows"])
     return spark.read.schema(SCHEMA).parquet(f"{base}/log").select(
         "query", "join_operators", "exchanges", "rows")

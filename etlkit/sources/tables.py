@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from etlkit.operators.layout import BALANCED_WRITE, balanced, range_layout
-from etlkit.operators.reuse import observed
+from etlkit.operators.reuse import measured, observed
 from etlkit.session import options as session_options
 from etlkit.settings import WarehouseSettings
 
@@ -142,7 +142,7 @@ class TableStore:
                 writer.save(self.path(table_id))
             else:
                 writer.save()
-        return {"table": target, "mode": mode, **rows.get}
+        return {"table": target, "mode": mode, "rows": measured(rows).get("rows", 0)}
 
     def get_table_schema(self, table_id: str) -> DataFrame:
         """One row per column: table, rows, bytes, times, column name, type, mode, description.
@@ -228,7 +228,7 @@ def write_path(df: DataFrame, path: str, format: str = "parquet", mode: str = "o
     writer = counted.write.format(format).mode(mode).options(**options)
     with session_options(df.sparkSession, BALANCED_WRITE if partition_by else {}):
         (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
-    return {"path": path, "mode": mode, **rows.get}
+    return {"path": path, "mode": mode, "rows": measured(rows).get("rows", 0)}
 
 
 def range_rows(spark: SparkSession, rows: int, **columns) -> DataFrame:

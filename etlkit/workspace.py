@@ -30,10 +30,13 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
-def file_system(spark: SparkSession, uri: str):
-    """(file system, path) of a location, through Spark's own Hadoop configuration."""
+def file_system(spark: SparkSession, location: str, encoded: bool = False):
+    """(file system, path) of a location, through Spark's own Hadoop configuration.
+
+    ``encoded`` locations are URIs, as in the ``_metadata`` column.
+    """
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(location) if encoded else location)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 

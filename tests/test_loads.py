@@ -37,6 +37,16 @@ def test_run_reports_rows_and_quality(store, people):
     assert clean.select("start_date_month").distinct().collect() == [(2,)]
 
 
+def test_run_that_writes_nothing(store, people):
+    EtlJob(store).run("people", "clean")
+    ignored = EtlJob(store).run("people", "clean", mode="ignore")
+    assert (ignored["rows_in"], ignored["rows_out"]) == (0, 0)
+    emptied = EtlJob(store, extra_steps=[lambda df: df.filter(F.lit(False))], quality="none").run(
+        "people", "none")
+    assert (emptied["rows_out"], emptied["quality"]) == (0, None)
+    assert store.read_table("clean").count() == 3 and store.read_table("none").count() == 0
+
+
 def test_missing_required_column_fails(store, people):
     with pytest.raises(ValueError, match="Missing required columns"):
         EtlJob(store, ["email"]).run("people", "clean")

@@ -76,3 +76,40 @@ def test_flagship_reads_only_what_it_needs(plan):
     assert joins(text) == ["BroadcastHashJoin"]
     assert "GreaterThan(l_quantity,10.0)" in " ".join(pushed(text))
     assert all("l_shipdate" not in s for s in read_schemas(text))
+
+
+def test_global_sort_is_one_range_shuffle(plan):
+    text = plan("sort_global")
+    assert "rangepartitioning(o_orderstatus" in text and exchanges(text) == 1
+    assert "o_orderkey" in text.split("rangepartitioning(")[1].split(")")[0]
+
+
+def test_ordered_windows_shuffle_the_data_once(spark, tables):
+    from etlkit.operators.windows import forward_fill, number_rows
+    events = tables("events").select("event_id", "ts", "user_id", "value")
+    for share, most in ((2.0, 1), (0.0001, 3)):
+        filled = forward_fill(events, ["value"], ["user_id"], ["ts", "event_id"], share=share)
+        numbered = number_rows(events, ["user_id"], ["ts", "event_id"], share=share)
+        for df in (filled, numbered):
+            text = initial_plan(df)
+            assert exchanges(text) <= most and not joins(text)
+
+
+def test_coalesce_adds_no_shuffle(plan):
+    assert exchanges(plan("layout_coalesce")) == exchanges(plan("layout_round_robin")) == 2
+
+
+def test_first_and_last_duplicates_combine_before_the_shuffle(plan):
+    for name in ("dedup_keep_first", "dedup_keep_last", "apply_changes"):
+        text = plan(name)
+        assert "partial_min_by" in text or "partial_max_by" in text
+        assert "Window" not in text
+
+
+def test_approximate_quality_report_is_one_pass(plan):
+    text = plan("data_quality_approx")
+    assert text.count("FileScan") == 1 and exchanges(text) == 1
+
+
+def test_one_pass_diamond_reads_the_fact_once(plan):
+    assert plan("diamond_one_pass").count("l_extendedprice:double") == 1
