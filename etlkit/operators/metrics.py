@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from etlkit.operators.sizing import row_salt, shuffle_partitions
+from etlkit.operators.sizing import by_tasks, row_salt, shuffle_partitions
 
 FUNCTIONS = {
     "sum": F.sum, "count": F.count, "avg": F.avg, "max": F.max, "min": F.min,
@@ -56,6 +56,16 @@ def count_where(**conditions: Column) -> list[Column]:
     return [F.count_if(condition).alias(name) for name, condition in conditions.items()]
 
 
+def distinct_sketch(value: Column) -> Column:
+    """Mergeable sketch of a column's distinct values, NULL counted as one value."""
+    return F.hll_sketch_agg(F.xxhash64(value), F.lit(12))
+
+
+def distinct_estimate(sketch: str) -> Column:
+    """Distinct values of all sketches in a column; 0 when there are none."""
+    return F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(sketch)), F.lit(0))
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Distinct values per column with NULL counted as one value: ``column_name, distinct_count``.
 
@@ -63,10 +73,8 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
     shuffles a single column and hot values collapse before the shuffle.
     """
     if approximate:
-        wide = df.agg(*[
-            (F.approx_count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(c)
-            for c in columns
-        ])
+        sketched = by_tasks(df).agg(*[distinct_sketch(F.col(c)).alias(c) for c in columns])
+        wide = sketched.agg(*[distinct_estimate(c).alias(c) for c in columns])
         pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_count"))
                           for c in columns])
         return wide.select(F.inline(pairs))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F, types as T
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 # Row header, 8 bytes per field and the hash-map entry of a broadcast relation.
@@ -68,10 +68,8 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = 0.01) -> dict[int, f
     """
     k = math.ceil(1 / share)
     tracked = 12 * k
-    groups = shuffle_partitions(df)
     merged = (
-        df.select(key_hash(df, keys).alias("h"))
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(groups)).alias("tasks"))
+        by_tasks(df.select(key_hash(df, keys).alias("h")))
         .agg(F.count(F.lit(1)).alias("n"),
              F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"))
         .groupBy(F.lit("all").alias("tasks"))
@@ -85,6 +83,16 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = 0.01) -> dict[int, f
     return {t["item"]: t["count"] / total for t in merged["top"] if t["count"] > share * total}
 
 
+def by_tasks(df: DataFrame) -> GroupedData:
+    """Rows grouped by the input partition they are read from, in bounded many groups.
+
+    The first level of merging sketches: each group takes those of a few tasks, so
+    that no single task receives one sketch per task of a large scan.
+    """
+    groups = F.lit(shuffle_partitions(df))
+    return df.groupBy(F.pmod(F.spark_partition_id(), groups).alias("tasks"))
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -14,6 +14,8 @@ from etlkit.session import options
 from etlkit.workspace import file_system
 
 BATCH = "load_batch"
+# More touched partitions than this are found by a join instead of listed in a filter.
+MAX_LISTED_PARTITIONS = 5_000
 
 
 def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -103,6 +105,16 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def _only_partitions(base: DataFrame, partition_by: str, touched: DataFrame) -> DataFrame:
+    """Rows of the touched partitions. Few values prune the scan to their folders."""
+    values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    column = F.col(partition_by)
+    if len(values) > MAX_LISTED_PARTITIONS:
+        return base.join(touched, column.eqNullSafe(F.col("__touched")), "left_semi")
+    listed = column.isin([v for v in values if v is not None])
+    return base.filter(listed | column.isNull() if None in values else listed)
+
+
 def merge_into_partitions(
     spark: SparkSession,
     path: str,
@@ -119,14 +131,15 @@ def merge_into_partitions(
     small distinct; the new content is staged before it replaces the old, and
     the folders of partitions left without rows are removed.
     """
-    touched = changes.select(partition_by).distinct()
-    base = spark.read.parquet(path)
-    affected = base.join(touched, partition_by, "left_semi").select(*base.columns)
-    result = staged(apply_changes(affected, changes, keys, order_by, operation, delete), "merge")
-    remaining = result.select(partition_by).distinct()
-    emptied = touched.join(remaining, partition_by, "left_anti")
+    touched = changes.select(F.col(partition_by).alias("__touched")).distinct()
+    base = _only_partitions(spark.read.parquet(path), partition_by, touched)
+    result = staged(apply_changes(base, changes, keys, order_by, operation, delete), "merge")
+    remaining = result.select(F.col(partition_by).alias("__kept")).distinct()
+    emptied = touched.join(
+        remaining, F.col("__touched").eqNullSafe(F.col("__kept")), "left_anti")
     folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1)
-    located = base.select(partition_by, folder.alias("folder")).join(emptied, partition_by)
+    located = base.select(partition_by, folder.alias("folder")).join(
+        emptied, F.col(partition_by).eqNullSafe(F.col("__touched")), "left_semi")
     stale = [r["folder"] for r in located.select("folder").distinct().collect()]
     overwrite_partitions(result, path, [partition_by])
     for uri in stale:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from etlkit.operators.layout import (
     colocate, partition_summary, skew_profile, spread_evenly,
 )
-from etlkit.operators.metrics import exact_sum
+from etlkit.operators.metrics import distinct_counts, exact_sum
 from etlkit.operators.nulls import handle_null_values, remove_duplicates
 from etlkit.operators.quality import check_data_quality, check_rules, tag_violations
 from etlkit.operators.windows import number_rows
@@ -56,9 +56,16 @@ def data_quality(spark, sf):
     return check_data_quality(orders_with_gaps(spark, sf))
 
 
-@query("data_quality_approx")
+@query("data_quality_approx", f"""
+SELECT column_name, total_rows, null_count, null_percentage, completeness, true AS distinct_close
+FROM ({QUALITY_SQL})""")
 def data_quality_approx(spark, sf):
-    return check_data_quality(orders_with_gaps(spark, sf), approximate=True)
+    """The single-pass report; its distinct estimates are checked to 10% of the exact ones."""
+    gaps = orders_with_gaps(spark, sf)
+    exact = distinct_counts(gaps, gaps.columns).withColumnRenamed("distinct_count", "exact")
+    off = F.abs(F.col("distinct_count") - F.col("exact")) / F.col("exact")
+    report = check_data_quality(gaps, approximate=True).join(exact, "column_name")
+    return report.withColumn("distinct_close", off < 0.1).drop("distinct_count", "exact")
 
 
 LINE_RULES = {
@@ -227,9 +234,14 @@ def layout_by_key(spark, sf):
         F.sum("n").alias("lines"), F.max("m").alias("max_price"))
 
 
-@query("partition_summary")
+@query("partition_summary", """
+SELECT 'lineitem' AS label, count(*) AS rows, true AS even FROM lineitem""")
 def partition_summary_query(spark, sf):
-    return partition_summary(_spread(spark, sf), "lineitem")
+    """Round-robin partitions hold all rows and differ by under 5% from their mean."""
+    summary = partition_summary(_spread(spark, sf), "lineitem")
+    uneven = F.abs(F.col("to_mean") - 1) > 0.05
+    return summary.groupBy("label").agg(
+        F.sum("rows").alias("rows"), (F.count_if(uneven) == 0).alias("even"))
 
 
 @query("skew_profile", """

@@ -1,4 +1,11 @@
+import glob
+import os
+import subprocess
+import sys
+from types import SimpleNamespace
+
 import pytest
+from conftest import ROOT
 from pyspark.sql import functions as F
 
 from etlkit.plans import job
@@ -10,6 +17,7 @@ from etlkit.plans.run_log import changed_strategies, record_run
 from etlkit.session import build_session, options
 from etlkit.settings import SparkSettings, WarehouseSettings
 from etlkit.sources.tables import TableStore
+from etlkit.workspace import shared_root
 
 
 @pytest.fixture
@@ -131,11 +139,15 @@ def test_apply_changes(change_sets):
     assert apply_changes(base, changes.limit(0), ["k"], ["at"]).count() == 3
 
 
-def test_merge_rewrites_touched_partitions_only(spark, change_sets, tmp_path):
-    import glob
+@pytest.mark.parametrize("listed", [5000, 0], ids=["listed", "joined"])
+def test_merge_rewrites_touched_partitions_only(
+        spark, change_sets, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr("etlkit.plans.incremental.MAX_LISTED_PARTITIONS", listed)
     base, changes = change_sets
-    base = base.union(spark.createDataFrame([(7, "quiet", 7.0), (8, "gone / x", 8.0)], base.schema))
-    changes = changes.union(spark.createDataFrame([(8, "gone / x", 0.0, "D", 1)], changes.schema))
+    base = base.union(spark.createDataFrame(
+        [(7, "quiet", 7.0), (8, "gone / x", 8.0), (9, None, 9.0)], base.schema))
+    changes = changes.union(spark.createDataFrame(
+        [(8, "gone / x", 0.0, "D", 1), (9, None, 0.0, "D", 1)], changes.schema))
     path = f"{tmp_path}/t"
     overwrite_partitions(base, path, ["p"])
     quiet = glob.glob(f"{path}/p=quiet/*.parquet")
@@ -164,3 +176,27 @@ def test_run_log_reports_a_changed_join(spark, tables, tmp_path):
     record_run(spark, log, "moved", orders.join(customers.hint("merge"), on), 1)
     assert [tuple(r) for r in changed_strategies(spark, log).collect()] == [
         ("moved", "BroadcastHashJoin", "SortMergeJoin")]
+
+
+def test_restarted_session_takes_new_static_options():
+    code = """
+from etlkit.session import build_session, restart_session, stop_session
+s = build_session("one", {"spark.memory.fraction": "0.5", "spark.ui.enabled": "false"})
+assert s.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+s = restart_session("two", {"spark.memory.fraction": "0.7", "spark.ui.enabled": "false"})
+print(s.sparkContext.appName, s.conf.get("spark.memory.fraction"), s.range(3).count())
+stop_session()
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True,
+                          timeout=120, env={"SPARK_MASTER": "local[2]", **os.environ})
+    assert done.stdout.strip().endswith("two 0.7 3"), done.stderr[-2000:]
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master="yarn", applicationId="a"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(cluster)
+    configured = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: "hdfs://x/cp/"))
+    assert shared_root(configured) == "hdfs://x/cp"
