@@ -8,6 +8,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from etlkit.sources.tables import values_lookup
+
 # Fixed operator names of Spark's physical plans.
 JOIN_OPERATORS = (
     "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
@@ -38,7 +40,7 @@ def record_run(spark: SparkSession, path: str, query: str, df: DataFrame, rows:
     exchanges = len(re.findall(r"\b(?:Broadcast)?Exchange\b", plan))
     row = (run_id, query, datetime.now(timezone.utc), ",".join(join_operators(plan)),
            exchanges, rows)
-    spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    values_lookup(spark, [row], SCHEMA).write.mode("append").parquet(path)
     return run_id
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from etlkit.sources.tables import values_lookup
 from etlkit.workspace import new_path
 
 STATISTICS_SCHEMA = (
@@ -73,4 +74,4 @@ def collect_stats(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
                 table, column, size.get("num_rows"), size.get("size_in_bytes"),
                 fact("distinct_count", int), fact("num_nulls", int), fact("min"), fact("max"),
             ))
-    return spark.createDataFrame(rows, STATISTICS_SCHEMA)
+    return values_lookup(spark, rows, STATISTICS_SCHEMA)
