@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from etlkit.llm import mixing
+from etlkit.llm import mixing, token_files
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
+from etlkit.workspace import new_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -41,3 +43,12 @@ FROM drawn
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.copies(table(spark, sf_dir, "documents")).select(
         "doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query("op4_token_files")
+def write_and_read_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "tokens")
+    token_files.write_tokens(
+        table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_tokens(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
