@@ -36,3 +36,17 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def text_slices(texts) -> Iterator[list[str]]:
+    """A series of texts as lists of about SLICE_BYTES characters; null becomes empty."""
+    part, held = [], 0
+    for text in texts.tolist():
+        text = text or ""
+        part.append(text)
+        held += len(text)
+        if held > SLICE_BYTES:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from etlkit.llm import mixing, token_files
+from etlkit.llm import mixing, token_counts, token_files
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 from etlkit.workspace import new_path
 
@@ -52,3 +52,9 @@ def write_and_read_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
     return token_files.read_tokens(spark, folder).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op3_token_counts")
+def count_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
