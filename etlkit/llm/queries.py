@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from etlkit.llm import mixing, token_counts, token_files
+from etlkit.llm import language_id, mixing, token_counts, token_files
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 from etlkit.workspace import new_path
 
@@ -58,3 +58,9 @@ def write_and_read_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def count_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op1_language_id")
+def identify_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predictions(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
