@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from etlkit.llm import language_id, mixing, token_counts, token_files
+from etlkit.llm import language_id, mixing, near_duplicates, token_counts, token_files
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 from etlkit.workspace import new_path
 
@@ -64,3 +64,10 @@ def count_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def identify_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predictions(
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op6_near_duplicates")
+def group_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates.NearDuplicates(docs).groups().select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
