@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from etlkit.llm import language_id, mixing, near_duplicates, token_counts, token_files
+from etlkit.llm import decontamination, language_id, mixing, near_duplicates, token_counts, token_files
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 from etlkit.workspace import new_path
 
@@ -71,3 +71,9 @@ def group_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates.NearDuplicates(docs).groups().select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query("op2_decontamination")
+def find_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "item_words", "covered", "coverage", F.size("tiles").alias("n_tiles"))

@@ -9,7 +9,9 @@ SHINGLE_WORDS = 5
 # Word hashes kept per Python worker; the table is emptied when full.
 KEPT_WORDS = 500_000
 
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+# Byte tables: A-Z in lower case; the same with ASCII punctuation as white space.
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+PLAIN = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in LOWER)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SHORT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -23,9 +25,9 @@ class _Words(dict):
 _words = _Words()
 
 
-def words(text: str | None) -> list[bytes]:
-    """Lower-cased (A-Z only) runs of anything but ASCII white space."""
-    return text.encode().translate(_LOWER).split() if text else []
+def words(text: str | None, table: bytes = LOWER) -> list[bytes]:
+    """Runs of anything but ASCII white space, after replacing bytes by ``table``."""
+    return text.encode().translate(table).split() if text else []
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -36,13 +38,13 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values * np.uint64(0x94D049BB133111EB)
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str | None], table: bytes = LOWER) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all words, text by text; borders: text i has [borders[i], borders[i + 1]))."""
     if len(_words) > KEPT_WORDS:
         _words.clear()
     get, parts, lengths = _words.__getitem__, [], [0]
     for text in texts:
-        own = words(text)
+        own = words(text, table)
         lengths.append(len(own))
         parts.append(np.fromiter(map(get, own), np.uint64, len(own)))
     flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
