@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from etlkit.llm import decontamination, language_id, mixing, near_duplicates, token_counts, token_files
+from etlkit.llm import decontamination, language_id, mixing, near_duplicates, token_counts, token_files, top_products
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 from etlkit.workspace import new_path
 
@@ -77,3 +77,21 @@ def group_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def find_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         "doc_id", "item_id", "item_words", "covered", "coverage", F.size("tiles").alias("n_tiles"))
+
+
+TOP_SQL = """
+WITH scaled AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM scaled q JOIN scaled c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+
+@query("op8_top_products", TOP_SQL)
+def search_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products.top_products(table(spark, sf_dir, "embeddings"))
