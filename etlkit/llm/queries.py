@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from etlkit.llm import decontamination, language_id, mixing, near_duplicates, token_counts, token_files, top_products
+from etlkit.llm import decontamination, language_id, mixing, near_duplicates, token_counts, token_files, top_products, web_archives
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 from etlkit.workspace import new_path
 
@@ -95,3 +95,23 @@ FROM scored QUALIFY rank <= 10
 @query("op8_top_products", TOP_SQL)
 def search_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products.top_products(table(spark, sf_dir, "embeddings"))
+
+
+WARC_SQL = """
+WITH records AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+kept AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS response
+  FROM records)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN response = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN response <> page_id THEN response END AS refers_to
+FROM kept
+"""
+
+
+@query("op7_web_archives", WARC_SQL)
+def write_and_read_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "archives")
+    web_archives.write_archives(table(spark, sf_dir, "pages"), folder)
+    return web_archives.read_archives(spark, folder)
