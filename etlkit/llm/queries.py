@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from etlkit.llm import decontamination, language_id, mixing, near_duplicates, token_counts, token_files, top_products, web_archives
+from etlkit.llm import decontamination, language_id, mixing, near_duplicates, passages, token_counts, token_files, top_products, web_archives
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 from etlkit.workspace import new_path
 
@@ -115,3 +115,8 @@ def write_and_read_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "archives")
     web_archives.write_archives(table(spark, sf_dir, "pages"), folder)
     return web_archives.read_archives(spark, folder)
+
+
+@query("op9_repeated_passages")
+def find_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))

@@ -67,10 +67,10 @@ def shingle_hashes(flat: np.ndarray, borders: np.ndarray, size: int = SHINGLE_WO
     long = np.repeat(lengths >= size, counts)
     out[long] = total[starts[long]]
     for i in np.flatnonzero((lengths > 0) & (lengths < size)).tolist():
-        value = np.uint64(lengths[i]) * _SHORT
-        for word in flat[borders[i]:borders[i + 1]]:
-            value = value * _FACTOR + word
-        out[ends[i] - 1] = value
+        value = int(lengths[i]) * int(_SHORT)
+        for word in flat[borders[i]:borders[i + 1]].tolist():
+            value = value * int(_FACTOR) + word
+        out[ends[i] - 1] = value & 0xFFFFFFFFFFFFFFFF
     return mix(out), np.r_[0, ends]
 
 
