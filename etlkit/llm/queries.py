@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from etlkit.llm import decontamination, language_id, mixing, near_duplicates, passages, token_counts, token_files, top_products, web_archives
+from etlkit.llm import decontamination, language_id, lm_scoring, mixing, near_duplicates, passages, token_counts, token_files, top_products, web_archives
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 from etlkit.workspace import new_path
 
@@ -120,3 +120,10 @@ def write_and_read_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_repeated_passages")
 def find_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op5_lm_scores")
+def score_by_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled as good are the target."""
+    good = table(spark, sf_dir, "labels").filter("quality = 1")
+    return lm_scoring.difference_scores(table(spark, sf_dir, "documents"), good)
