@@ -12,9 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from etlkit.operators.columns import composite_key, first_match
-
-# Broadcasting a Python dictionary sends it through the driver: keep it small.
-MAX_LOOKUP_ENTRIES = 100_000
+from etlkit.operators.reuse import staged
+from etlkit.operators.sizing import BROADCAST_LIMIT_BYTES, is_small
 
 
 @F.udf(T.StringType(), useArrow=True)
@@ -58,24 +57,26 @@ def net_amount(price: pd.Series, discount: pd.Series) -> pd.Series:
 
 def broadcast_lookup(
     df: DataFrame, column: str, lookup: DataFrame, key: str, value: str,
-    name: str, default: str = "unknown", max_entries: int = MAX_LOOKUP_ENTRIES,
+    name: str, default: str = "unknown", limit_bytes: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
-    """Add ``name``: the lookup value for ``column``, by a dictionary sent to the executors.
+    """Add ``name``: the lookup value for ``column`` as text, by a dictionary sent to the executors.
 
-    The lookup is counted first; beyond ``max_entries`` it is joined instead, with
-    the same result. Lookup keys must be unique.
+    A dictionary goes through the driver, so the lookup is measured first; beyond
+    ``limit_bytes`` it is joined instead. Both ways give the same: values are cast to text
+    by Spark, and a null on either side finds nothing. Lookup keys must be unique and of the
+    column's type. The lookup is computed once, into the shared folder.
     """
-    entries = lookup.select(key, value)
-    if entries.count() > max_entries:
-        renamed = entries.select(F.col(key).alias(column), F.col(value).alias(name))
-        return df.join(renamed, column, "left").select(
-            *df.columns, F.coalesce(F.col(name), F.lit(default)).alias(name))
-    table = {r[key]: r[value] for r in entries.collect()}
+    entries = staged(lookup.select(
+        F.col(key).alias("__key"), F.col(value).cast("string").alias("__value"),
+    ).filter("__key IS NOT NULL AND __value IS NOT NULL"), "lookup")
+    if not is_small(entries, limit_bytes):
+        joined = df.join(entries, df[column] == entries["__key"], "left")
+        return joined.withColumn(name, F.coalesce("__value", F.lit(default))).drop("__key", "__value")
+    table = {r["__key"]: r["__value"] for r in entries.collect()}
     shared = df.sparkSession.sparkContext.broadcast(table)
 
     @F.udf(T.StringType(), useArrow=True)
     def find(k):
-        found = shared.value.get(k)
-        return default if found is None else found
+        return shared.value.get(k, default)
 
     return df.withColumn(name, find(column))

@@ -1,8 +1,8 @@
 """Join values to the bands ``[low, high)`` that contain them, as an equi-join.
 
-Bands are cut into bins of a fixed width; a value joins on its bin and the exact
-bounds are checked afterwards. No value is ever paired with a band outside its
-own bin.
+Bands are cut into bins of one width, a fraction of their mean width; a value joins on
+its bin and the exact bounds are checked afterwards. No value is ever paired with a
+band outside its own bin.
 """
 
 from __future__ import annotations
@@ -11,10 +11,12 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from etlkit.operators.sizing import BROADCAST_LIMIT_BYTES, is_small
+from etlkit.operators.reuse import staged
+from etlkit.operators.sizing import BROADCAST_LIMIT_BYTES, broadcast_if_small
 
-# Bands cut into at most this many bins use one bin width and are broadcast.
-MAX_BROADCAST_BINS = 10_000
+# Bins of a band of mean width. Together the bands are cut into at most so many pieces
+# for each band and two more, however their widths differ.
+BINS_PER_BAND = 8
 
 
 def _finite(bound: Column) -> Column:
@@ -26,11 +28,6 @@ def _bin(value: Column, width: Column) -> Column:
     return F.floor(value / width).cast("long")
 
 
-def _explode_bins(bands: DataFrame, width: Column) -> DataFrame:
-    return bands.withColumn(
-        "__bin", F.explode(F.sequence(_bin(F.col("__from"), width), _bin(F.col("__to"), width))))
-
-
 def band_join(
     df: DataFrame,
     value: str,
@@ -41,11 +38,10 @@ def band_join(
 ) -> DataFrame:
     """Inner join ``df`` to every band with ``low <= value < high``; bounds are numeric.
 
-    Few bands: one bin width (the narrowest band), and the measured, bounded bin
-    table is broadcast. Otherwise each band uses bins of the power of two at or
-    above its own width, so it spans at most two bins; a value joins once per
-    width in use, by shuffle, where Spark splits skewed bins. A null bound is an
-    open end. Values outside all finite bounds share the outermost bins. Runs
+    Each value has one bin, so rows of ``df`` are neither copied nor, while the cut bands
+    measure small and are broadcast, shuffled. Beyond that both sides are shuffled by bin
+    and Spark splits skewed bins. A null bound is an open end. Values outside all finite
+    bounds share the outermost bins. Writes the cut bands to the shared folder and runs
     small jobs over ``bands`` only.
     """
     ends = bands.select(F.explode(F.array(_finite(F.col(low)), _finite(F.col(high)))).alias("end"))
@@ -55,33 +51,16 @@ def band_join(
         "__from": F.coalesce(_finite(F.col(low)), least),
         "__to": F.coalesce(_finite(F.col(high)), most),
     }).filter(F.col("__to") >= F.col("__from"))
-    extent = F.col("__to") - F.col("__from")
-    shape = ranged.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(extent).alias("total"),
-        F.min(F.when(extent > 0, extent)).alias("narrowest"),
-    ).first()
+    mean = ranged.agg(F.avg(F.col("__to") - F.col("__from")).alias("mean")).first()["mean"]
+    width = F.lit((mean or 1.0) / BINS_PER_BAND)
+    cut = staged(
+        ranged.withColumn("__bin", F.explode(F.sequence(_bin(F.col("__from"), width), _bin(F.col("__to"), width))))
+        .drop("__from", "__to"), "bands")
     number = F.least(F.greatest(F.col(value).cast("double"), least), most)
-    number = F.when(F.col(value).isNotNull(), number)
+    keyed = df.withColumn("__bin", _bin(F.when(F.col(value).isNotNull(), number), width))
     inside = (
         (F.col(low).isNull() | (F.col(value) >= F.col(low)))
         & (F.col(high).isNull() | (F.col(value) < F.col(high)))
     )
-    narrowest = shape["narrowest"] or 1.0
-    bins = (shape["total"] or 0.0) / narrowest + 2 * shape["n"]
-    columns = [*[df[c] for c in df.columns], *[bands[c] for c in bands.columns]]
-    if bins <= MAX_BROADCAST_BINS:
-        width = F.lit(narrowest)
-        cut = _explode_bins(ranged, width)
-        if is_small(cut, limit_bytes):
-            keyed = df.withColumn("__bin", _bin(number, width))
-            return keyed.join(F.broadcast(cut), "__bin").filter(inside).select(*columns)
-    level = F.ceil(F.log2(F.greatest(extent, F.lit(narrowest)))).cast("int")
-    leveled = ranged.withColumn("__level", level)
-    levels = [r["__level"] for r in leveled.select("__level").distinct().collect()]
-    cut = _explode_bins(leveled, F.pow(F.lit(2.0), F.col("__level")))
-    keyed = (
-        df.withColumn("__level", F.explode(F.array(*[F.lit(x) for x in sorted(levels)])))
-        .withColumn("__bin", _bin(number, F.pow(F.lit(2.0), F.col("__level"))))
-    )
-    joined = keyed.join(cut.hint("merge"), ["__level", "__bin"]).filter(inside)
-    return joined.select(*columns)
+    return keyed.join(broadcast_if_small(cut, limit_bytes), "__bin").filter(inside).select(
+        *[keyed[c] for c in df.columns], *[cut[c] for c in bands.columns])

@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from etlkit.operators.sizing import hot_keys, is_hot, row_salt, salts_for
+from etlkit.workspace import file_system
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 TIES = 1 << 20
@@ -16,14 +17,14 @@ TIES = 1 << 20
 def partition_summary(df: DataFrame, label: str = "") -> DataFrame:
     """Rows per partition with the ratio to the mean: ``label, partition_id, rows, to_mean``.
 
-    Empty partitions do not appear.
+    Empty partitions do not appear. The mean is a scalar subquery over the same counts.
     """
     counted = df.groupBy(F.spark_partition_id().alias("partition_id")).agg(
         F.count(F.lit(1)).alias("rows"))
-    labelled = counted.withColumn("label", F.lit(label))
-    mean = F.avg("rows").over(Window.partitionBy("label"))
-    return labelled.select(
-        "label", "partition_id", "rows", F.round(F.col("rows") / mean, 4).alias("to_mean"))
+    mean = counted.agg(F.avg("rows")).scalar()
+    return counted.select(
+        F.lit(label).alias("label"), "partition_id", "rows",
+        F.round(F.col("rows") / mean, 4).alias("to_mean"))
 
 
 def skew_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -94,9 +95,13 @@ def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def stored_bytes(df: DataFrame) -> int:
-    """Total size of the files behind a file-based frame. Runs one metadata job."""
-    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
-    return files.agg(F.sum("file_size").alias("b")).first()["b"] or 0
+    """Total size of the files behind a file-based frame, from the file system's own
+    listing: no data is read."""
+    total = 0
+    for uri in df.inputFiles():
+        system, path = file_system(df.sparkSession, uri, encoded=True)
+        total += system.getFileStatus(path).getLen()
+    return total
 
 
 def compacted(

@@ -6,7 +6,9 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from etlkit.operators.sizing import by_tasks, row_salt, shuffle_partitions
+from etlkit.operators.sizing import (
+    by_tasks, hot_keys, is_hot, row_salt, salts_for, shuffle_partitions,
+)
 
 FUNCTIONS = {
     "sum": F.sum, "count": F.count, "avg": F.avg, "max": F.max, "min": F.min,
@@ -103,22 +105,27 @@ def salted_aggregate(
     group_by_columns: Sequence[str],
     metrics: Mapping[str, str | Iterable[str]],
     salts: int | None = None,
+    share: float = 0.01,
 ) -> DataFrame:
     """Two-phase aggregate: by (keys, salt), then by keys; equal to the plain aggregate.
 
-    The first phase spreads a hot group over ``salts`` tasks, the second merges
-    at most ``salts`` rows per group. Averages travel as sum and count.
+    Only groups above ``share`` of the rows are salted. The first phase spreads them over
+    ``salts`` tasks, the second merges at most ``salts`` rows per group. Averages travel
+    as sum and count. Runs one scan of the keys to find hot groups.
     """
     pairs = _expand(metrics)
     unsupported = sorted({f for _, f in pairs} - set(_PARTIAL))
     if unsupported:
         raise ValueError(f"not mergeable over salts: {unsupported}")
-    salts = salts or shuffle_partitions(df)
+    keys = list(group_by_columns)
+    hot = hot_keys(df, keys, share) if keys else {}
+    salts = salts or (salts_for(df, hot) if keys else shuffle_partitions(df))
     needed = list(dict.fromkeys((c, base) for c, f in pairs for base in _PARTIAL[f][0]))
     names = {pair: f"__p{i}" for i, pair in enumerate(needed)}
+    salt = row_salt(df, salts)
     used = df.select(*dict.fromkeys([*group_by_columns, *[c for c, _ in pairs]]))
     partial = (
-        used.withColumn("__salt", row_salt(used, salts))
+        used.withColumn("__salt", F.when(is_hot(used, keys, hot), salt).otherwise(0) if keys else salt)
         .groupBy(*group_by_columns, "__salt")
         .agg(*[FUNCTIONS[base](c).alias(names[c, base]) for c, base in needed])
     )

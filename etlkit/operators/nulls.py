@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from etlkit.operators.windows import forward_fill
 
@@ -19,7 +19,6 @@ def handle_null_values(
     subset: Sequence[str] | None = None,
     keys: Sequence[str] = (),
     order_by: Sequence[str] = (),
-    chunk: Column | None = None,
 ) -> DataFrame:
     """Drop rows with nulls, fill nulls with values, or carry the last value forward.
 
@@ -36,7 +35,7 @@ def handle_null_values(
             raise ValueError("forward_fill needs order_by")
         fixed = {*keys, *order_by}
         columns = list(subset) if subset else [c for c in df.columns if c not in fixed]
-        return forward_fill(df, columns, keys, order_by, chunk)
+        return forward_fill(df, columns, keys, order_by)
     if not fill_values:
         return df.fillna(0, subset=list(subset) if subset else None)
     used = {c: v for c, v in fill_values.items() if subset is None or c in subset}

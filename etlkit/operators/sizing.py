@@ -97,11 +97,11 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def salts_for(df: DataFrame, hot: dict[int, float], most: int = 1024) -> int:
+def salts_for(df: DataFrame, hot: dict[int, float]) -> int:
     """Salts that bring the hottest key down to about one shuffle partition's share."""
     if not hot:
         return 1
-    return max(2, min(most, math.ceil(max(hot.values()) * shuffle_partitions(df))))
+    return max(2, math.ceil(max(hot.values()) * shuffle_partitions(df)))
 
 
 def row_salt(df: DataFrame, salts: int) -> Column:

@@ -51,7 +51,7 @@ class EtlJob:
         required_columns: Sequence[str] = ("id",),
         load_timestamp: str | None = None,
         extra_steps: Sequence[Step] = (),
-        quality: str = "exact",
+        quality: str = "approximate",
     ):
         if quality not in ("exact", "approximate", "none"):
             raise ValueError(f"unknown quality mode {quality!r}")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from etlkit.operators.layout import BALANCED_WRITE, balanced
 from etlkit.operators.reuse import measured, observed, staged
@@ -14,8 +14,6 @@ from etlkit.session import options
 from etlkit.workspace import file_system
 
 BATCH = "load_batch"
-# More touched partitions than this are found by a join instead of listed in a filter.
-MAX_LISTED_PARTITIONS = 5_000
 
 
 def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -30,12 +28,16 @@ def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 def incremental_load(
     source: DataFrame, target: str, state: str, watermark_column: str
 ) -> dict[str, Any]:
-    """Append the source rows above the stored high-watermark and store the new one.
+    """Append the source rows that are not loaded yet and store the new high-watermark.
+
+    Rows above the stored watermark are new. Of rows equal to it and of rows without a
+    value, those are new that the target does not hold already, repeated rows counted;
+    the target is read at that value only. Rows that later arrive below the stored
+    watermark are not picked up.
 
     A load goes to its own partition ``load_batch=N`` of ``target`` and is repeated
     into the same partition if the run failed before the watermark was stored.
-    Row count and new watermark are measured by the write itself. Rows that later
-    arrive at or below the stored watermark are not picked up.
+    Row count and new watermark are measured by the write itself.
     """
     spark = source.sparkSession
     stored = _read_if_exists(spark, state)
@@ -43,8 +45,14 @@ def incremental_load(
     batch = last[BATCH] + 1 if last else 0
     kind = source.schema[watermark_column].dataType
     fresh = source
-    if last and last["high_watermark"] is not None:
-        fresh = source.filter(F.col(watermark_column) > F.lit(last["high_watermark"]).cast(kind))
+    if last:
+        value = F.col(watermark_column)
+        high = F.lit(last["high_watermark"]).cast(kind)
+        seen_at = value.isNull() | (value == high)
+        loaded = spark.read.schema(_with_batch(source)).option("basePath", target).parquet(target)
+        loaded = loaded.filter(F.col(BATCH) < batch).filter(seen_at).select(source.columns)
+        above = source.filter(value > high if last["high_watermark"] is not None else value.isNotNull())
+        fresh = above.union(source.filter(seen_at).exceptAll(loaded))
     counted, load = observed(
         fresh, f"load {batch}", F.count(F.lit(1)).alias("rows"),
         F.max(F.col(watermark_column)).cast("string").alias("high_watermark"))
@@ -59,6 +67,10 @@ def incremental_load(
     return {"batch": batch, "rows": rows, "high_watermark": high}
 
 
+def _with_batch(source: DataFrame) -> T.StructType:
+    return T.StructType([*source.schema.fields, T.StructField(BATCH, T.LongType())])
+
+
 def latest_changes(changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The last change per key; combined before the shuffle, so a busy key stays cheap."""
     rest = [c for c in changes.columns if c not in keys]
@@ -105,16 +117,6 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def _only_partitions(base: DataFrame, partition_by: str, touched: DataFrame) -> DataFrame:
-    """Rows of the touched partitions. Few values prune the scan to their folders."""
-    values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    column = F.col(partition_by)
-    if len(values) > MAX_LISTED_PARTITIONS:
-        return base.join(touched, column.eqNullSafe(F.col("__touched")), "left_semi")
-    listed = column.isin([v for v in values if v is not None])
-    return base.filter(listed | column.isNull() if None in values else listed)
-
-
 def merge_into_partitions(
     spark: SparkSession,
     path: str,
@@ -127,12 +129,17 @@ def merge_into_partitions(
 ) -> None:
     """Apply changes to a partitioned folder, rewriting only the partitions they touch.
 
-    A key must stay in its partition. The touched partitions are found with one
-    small distinct; the new content is staged before it replaces the old, and
-    the folders of partitions left without rows are removed.
+    Touched are the partitions that changed rows go to and those where changed keys are
+    stored, so a key may move. The latter are found by a semi join over the stored keys.
+    The new content is staged before it replaces the old, and the folders of partitions
+    left without rows are removed, one call per folder.
     """
-    touched = changes.select(F.col(partition_by).alias("__touched")).distinct()
-    base = _only_partitions(spark.read.parquet(path), partition_by, touched)
+    stored = spark.read.parquet(path)
+    held = stored.select(*keys, partition_by).join(changes.select(*keys).distinct(), list(keys), "left_semi")
+    touched = staged(
+        held.select(F.col(partition_by).alias("__touched"))
+        .union(changes.select(partition_by)).distinct(), "touched")
+    base = stored.join(touched, F.col(partition_by).eqNullSafe(F.col("__touched")), "left_semi")
     result = staged(apply_changes(base, changes, keys, order_by, operation, delete), "merge")
     remaining = result.select(F.col(partition_by).alias("__kept")).distinct()
     emptied = touched.join(

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+from contextlib import redirect_stdout
 from datetime import datetime, timezone
+from io import StringIO
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from etlkit.sources.tables import values_lookup
+from etlkit.workspace import ensure_checkpoint_dir
 
 # Fixed operator names of Spark's physical plans.
 JOIN_OPERATORS = (
@@ -33,15 +36,27 @@ def join_operators(plan: str) -> list[str]:
     return sorted(re.findall("|".join(JOIN_OPERATORS), plan))
 
 
-def record_run(spark: SparkSession, path: str, query: str, df: DataFrame, rows: int) -> str:
-    """Append one row about ``df``'s plan to the run table; returns the run id."""
-    plan = physical_plan(df)
-    run_id = uuid4().hex
+def executed_plan(df: DataFrame) -> str:
+    """Text of the plan that ran, once an action on ``df`` itself has ended."""
+    with redirect_stdout(StringIO()) as out:
+        df.explain("simple")
+    return out.getvalue().partition("== Initial Plan ==")[0]
+
+
+def record_run(spark: SparkSession, path: str, query: str, df: DataFrame) -> DataFrame:
+    """Run ``df`` and append one row about the plan that ran to the run table.
+
+    Adaptive execution may change joins while it runs, so the plan is taken after the run.
+    The result is checkpointed in the shared folder and returned; write it from there.
+    """
+    ensure_checkpoint_dir(spark)
+    result = df.checkpoint(eager=True)
+    plan = executed_plan(df)
     exchanges = len(re.findall(r"\b(?:Broadcast)?Exchange\b", plan))
-    row = (run_id, query, datetime.now(timezone.utc), ",".join(join_operators(plan)),
-           exchanges, rows)
+    row = (uuid4().hex, query, datetime.now(timezone.utc), ",".join(join_operators(plan)),
+           exchanges, result.count())
     values_lookup(spark, [row], SCHEMA).write.mode("append").parquet(path)
-    return run_id
+    return result
 
 
 def changed_strategies(spark: SparkSession, path: str) -> DataFrame:

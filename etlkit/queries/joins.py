@@ -14,7 +14,7 @@ from etlkit.operators.joins import (
 from etlkit.operators.metrics import exact_sum, top_k
 from etlkit.operators.sizing import broadcast_if_small, shuffle_partitions
 from etlkit.queries.registry import query, table
-from etlkit.sources.catalog import write_bucketed
+from etlkit.sources.catalog import drop_table, write_bucketed
 from etlkit.sources.tables import values_lookup, write_path
 from etlkit.workspace import new_path
 
@@ -154,7 +154,10 @@ def bucketed_join(spark, sf):
     keys, buckets, run = ["o_custkey", "salt"], shuffle_partitions(left), uuid4().hex
     fact = write_bucketed(left, f"orders_{run}", keys, buckets)
     dim = write_bucketed(right, f"customers_{run}", keys, buckets)
-    return fact.join(dim.hint("merge"), keys).drop("salt")
+    joined = fact.join(dim.hint("merge"), keys).drop("salt")
+    for name in (f"orders_{run}", f"customers_{run}"):
+        drop_table(spark, name)  # the files stay, and the frame above reads them
+    return joined
 
 
 HUB_SQL = """

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F, types as T
 from etlkit.operators.metrics import exact_sum
 from etlkit.operators.sizing import hot_keys
 from etlkit.queries.registry import query, table
-from etlkit.streaming.files import latest_rows, stream_files, write_batches, write_stream
+from etlkit.streaming.files import compact_updates, latest_rows, stream_files, write_batches, write_stream
 from etlkit.streaming.state import merge_totals, running_totals
-from etlkit.streaming.windows import session_aggregate, windowed_aggregate
+from etlkit.streaming.windows import session_aggregate, time_span, windowed_aggregate
 from etlkit.workspace import new_path
 
 COUNTS_SQL = "count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total"
-# Longer than the table's time range, so that no event counts as late.
-WHOLE_RANGE = "40 days"
+# Running totals of a user without events for so long make room.
+IDLE_MS = 7 * 86_400_000
 
 
 def counts():
@@ -41,9 +41,14 @@ def _complete(spark, df, label):
     return _plain(spark.read.schema(_as_read(df.schema)).parquet(f"{base}/out"))
 
 
+def _lateness(spark, sf):
+    return time_span(table(spark, sf, "events"), "ts")
+
+
 def _updates(spark, df, label, keys):
     base = new_path(spark, label)
     write_batches(df, f"{base}/out", f"{base}/checkpoint", "update")
+    compact_updates(spark, f"{base}/out", _as_read(df.schema), keys)
     return latest_rows(spark, f"{base}/out", _as_read(df.schema), keys)
 
 
@@ -60,8 +65,8 @@ SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL
 FROM events GROUP BY ALL""")
 def stream_tumbling(spark, sf):
     hourly = windowed_aggregate(
-        events_stream(spark, sf), "ts", counts(), "1 hour", keys=["event_type"])
-    return _complete(spark, hourly, "stream-hourly")
+        events_stream(spark, sf), "ts", counts(), "1 hour", keys=["event_type"], watermark=_lateness(spark, sf))
+    return _plain(_updates(spark, hourly, "stream-hourly", ["window_start", "window_end", "event_type"]))
 
 
 @query("stream_sliding", f"""
@@ -70,7 +75,7 @@ WITH w AS (SELECT date_trunc('hour', ts) AS s, value FROM events
 SELECT s AS window_start, s + INTERVAL 2 HOUR AS window_end, {COUNTS_SQL} FROM w GROUP BY s""")
 def stream_sliding(spark, sf):
     sliding = windowed_aggregate(
-        events_stream(spark, sf), "ts", counts(), "2 hours", "1 hour", watermark=WHOLE_RANGE)
+        events_stream(spark, sf), "ts", counts(), "2 hours", "1 hour", watermark=_lateness(spark, sf))
     return _plain(_updates(spark, sliding, "stream-sliding", ["window_start", "window_end"]))
 
 
@@ -83,25 +88,26 @@ SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 6 HOUR AS window_end
 FROM s GROUP BY user_id, n""")
 def stream_session(spark, sf):
     sessions = session_aggregate(
-        events_stream(spark, sf), "ts", counts(), "6 hours", ["user_id"], watermark=WHOLE_RANGE)
+        events_stream(spark, sf), "ts", counts(), "6 hours", ["user_id"], watermark=_lateness(spark, sf))
     return _complete(spark, sessions, "stream-session")
 
 
 @query("stream_late_drop", """
 WITH w AS (SELECT date_trunc('hour', ts) AS window_start, event_type FROM events),
-     m AS (SELECT max(ts) - INTERVAL 10 DAY AS mark FROM events WHERE event_type <> 'error')
+     m AS (SELECT max(ts) - INTERVAL 10 DAY AS mark FROM events WHERE event_type IS DISTINCT FROM 'error')
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS events
-FROM w, m WHERE event_type <> 'error' OR window_start + INTERVAL 1 HOUR > mark GROUP BY window_start""")
+FROM w, m WHERE event_type IS DISTINCT FROM 'error' OR window_start + INTERVAL 1 HOUR > mark GROUP BY window_start""")
 def stream_late_drop(spark, sf):
     """Error events arrive after all others; those behind the watermark are dropped."""
     base, events = new_path(spark, "stream-late"), table(spark, sf, "events")
     arrivals = f"{base}/arrivals"
-    for wave in (F.col("event_type") != "error", F.col("event_type") == "error"):
+    error = F.col("event_type").eqNullSafe("error")
+    for wave in (~error, error):
         events.filter(wave).write.mode("append").parquet(arrivals)
         hourly = windowed_aggregate(
             stream_files(spark, arrivals, events.schema), "ts",
             [F.count(F.lit(1)).alias("events")], "1 hour", watermark="10 days")
-        write_batches(hourly, f"{base}/out", f"{base}/checkpoint", "update")
+        write_batches(hourly, f"{base}/out", f"{base}/checkpoint", "update", late="drop")
     return _plain(latest_rows(
         spark, f"{base}/out", _as_read(hourly.schema), ["window_start", "window_end"]))
 
@@ -112,8 +118,9 @@ SELECT user_id AS key, count(*) AS events,
 FROM events GROUP BY user_id""")
 def stream_state_running_total(spark, sf):
     busy = hot_keys(table(spark, sf, "events"), ["user_id"])
-    totals = running_totals(events_stream(spark, sf), "user_id", "value", "event_id", busy)
-    parts = _updates(spark, totals, "stream-totals", ["key", "salt"])
+    totals = running_totals(events_stream(spark, sf), "user_id", "value", "event_id", busy,
+                            time_column="ts", lateness=_lateness(spark, sf), idle_ms=IDLE_MS)
+    parts = _updates(spark, totals, "stream-totals", ["key", "salt", "part"])
     return merge_totals(parts)
 
 

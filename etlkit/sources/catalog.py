@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from etlkit.sources.tables import values_lookup
-from etlkit.workspace import new_path
+from etlkit.workspace import file_system, new_path
 
 STATISTICS_SCHEMA = (
     "table_name string, column_name string, rows long, bytes long, "
@@ -19,13 +19,25 @@ STATISTICS_SCHEMA = (
 def register_external_table(
     spark: SparkSession, name: str, path: str, format: str = "parquet", partitioned: bool = False
 ) -> DataFrame:
-    """Register files as a table. Partitions of a partitioned folder are discovered too."""
+    """Register files as a table. Partitions of a partitioned folder are discovered too.
+
+    A name that is already registered for another location raises.
+    """
+    if spark.catalog.tableExists(name):
+        known = json.loads(spark.sql(f"DESCRIBE EXTENDED {name} AS JSON").first()[0]).get("location", "")
+        if _place(spark, known) != _place(spark, path):
+            raise ValueError(f"table {name!r} is registered for {known!r}, not for {path!r}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {format} LOCATION '{path}'")
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)
 
 
+def _place(spark: SparkSession, location: str) -> str:
+    system, path = file_system(spark, location)
+    return system.makeQualified(path).toString().rstrip("/")
+
+
 def write_bucketed(
     df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None
 ) -> DataFrame:

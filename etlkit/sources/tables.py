@@ -120,6 +120,8 @@ class TableStore:
         if mode not in MODES:
             raise ValueError(f"unknown write mode {mode!r}, expected one of {MODES}")
         target = self.resolve(table_id)
+        if mode == "ignore" and self.format == "table" and self.spark.catalog.tableExists(target):
+            return {"table": target, "mode": mode, "rows": 0}
         if not (self.by_path or self.format == "table"):
             out = df
             options = {**self._connector_options(
@@ -148,22 +150,19 @@ class TableStore:
         """One row per column: table, rows, bytes, times, column name, type, mode, description.
 
         Facts a format does not keep are null. For files the size and the newest
-        modification time are read in one job.
+        modification time come from the file listing.
         """
         df = self.read_table(table_id)
         facts: dict[str, Any] = {}
         if self.by_path:
-            files = df.select("_metadata.file_path", "_metadata.file_size",
-                              "_metadata.file_modification_time").distinct()
-            found = files.agg(F.sum("file_size").alias("bytes"),
-                              F.max("file_modification_time").alias("modified")).first()
+            found = listed_files(self.spark, self.path(table_id)).agg(
+                F.sum("length").alias("bytes"), F.max("modificationTime").alias("modified")).first()
             facts = {"bytes": found["bytes"], "modified": str(found["modified"])}
         if self.format == "table":
             text = self.spark.sql(
                 f"DESCRIBE EXTENDED {self.resolve(table_id)} AS JSON").first()[0]
             found = json.loads(text)
-            facts = {"created": found.get("created_time"), "modified": found.get("last_access"),
-                     "bytes": found.get("statistics", {}).get("size_in_bytes")}
+            facts = {"created": found.get("created_time"), "bytes": found.get("statistics", {}).get("size_in_bytes")}
         return describe_columns(df, self.resolve(table_id), facts)
 
 
@@ -192,6 +191,12 @@ def describe_columns(
     return table_facts.select("*", F.inline(described)).drop("_")
 
 
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, modificationTime, length`` of the files under ``path``; contents are not read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            .select("path", "modificationTime", "length"))
+
+
 def day_column(partition_by: str) -> str:
     return f"{partition_by}_partition_day"
 

@@ -8,22 +8,28 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from etlkit.operators.reuse import staged
 from etlkit.session import options
+from etlkit.workspace import file_system
 
 BATCH = "batch_id"
+FILES_PER_BATCH = 1000
 
 
 def stream_files(
-    spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet", **options: Any
+    spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet", **settings: Any
 ) -> DataFrame:
     """Stream of the files under ``path``, which may also name a single file.
 
-    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds a micro-batch.
+    A micro-batch takes ``FILES_PER_BATCH`` files, or what ``maxFilesPerTrigger`` or
+    ``maxBytesPerTrigger`` say.
     """
+    if "maxBytesPerTrigger" not in settings:
+        settings = {"maxFilesPerTrigger": FILES_PER_BATCH, **settings}
     # A one-letter glob makes Spark list the path instead of requiring a folder.
     trimmed = path.rstrip("/")
     listed = f"{trimmed[:-1]}[{trimmed[-1]}]"
-    return spark.readStream.format(format).schema(schema).options(**options).load(listed)
+    return spark.readStream.format(format).schema(schema).options(**settings).load(listed)
 
 
 def with_event_time(df: DataFrame, column: str) -> DataFrame:
@@ -72,10 +78,12 @@ def write_batches(
     checkpoint: str,
     output_mode: str = "update",
     trigger: dict[str, Any] | None = None,
+    late: str = "fail",
 ) -> StreamingQuery:
     """Write each micro-batch to its own partition ``batch_id=N``, replacing it on replay.
 
     In ``complete`` mode each batch holds the whole result, so it replaces everything.
+    A run that ends having dropped rows behind its watermark raises, unless ``late`` is ``drop``.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
@@ -84,7 +92,16 @@ def write_batches(
         else:
             batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
-    return for_each_batch(df, save, checkpoint, output_mode, trigger)
+    query = for_each_batch(df, save, checkpoint, output_mode, trigger)
+    if late == "fail" and not query.isActive and (lost := dropped_rows(query)):
+        raise ValueError(f"{lost} rows came later than the watermark allows")
+    return query
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows dropped behind the watermark, over the progress reports that Spark keeps
+    (``spark.sql.streaming.numRecentProgressUpdates``)."""
+    return sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
 
 
 def for_each_batch(
@@ -101,6 +118,23 @@ def for_each_batch(
     return _finish(query, trigger)
 
 
+def compact_updates(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> None:
+    """Put the current rows of such a table into its newest batch and remove the older ones.
+
+    Run it between runs of the stream. The current rows are staged, then replace the newest
+    batch, then older batches go, each with one call: the table reads the same after every step.
+    """
+    system, folder = file_system(spark, path)
+    batches = sorted(int(s.getPath().getName().partition("=")[2]) for s in system.listStatus(folder)
+                     if s.getPath().getName().startswith(f"{BATCH}="))
+    if len(batches) < 2:
+        return
+    staged(latest_rows(spark, path, schema, keys), "updates").write.mode("overwrite").parquet(
+        f"{path}/{BATCH}={batches[-1]}")
+    for batch in batches[:-1]:
+        system.delete(file_system(spark, f"{path}/{BATCH}={batch}")[1], True)
+
+
 def latest_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
     """Current row per key of a table written by ``write_batches`` in update mode."""
     full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])

@@ -9,6 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from etlkit.streaming.files import with_event_time
 
 
+def time_span(df: DataFrame, column: str) -> str:
+    """How far a stored row can lie behind the newest one, whatever order its files come in:
+    a watermark delay that drops nothing of ``df``. Runs one aggregate job."""
+    time = F.col(column).cast("timestamp")
+    found = df.agg((F.unix_micros(F.max(time)) - F.unix_micros(F.min(time))).alias("micros")).first()
+    return f"{(found['micros'] or 0) // 1_000_000 + 1} seconds"
+
+
 def _flatten(grouped: DataFrame) -> DataFrame:
     rest = [c for c in grouped.columns if c != "window"]
     return grouped.select(

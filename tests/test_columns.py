@@ -103,9 +103,10 @@ def test_udfs_take_nulls_like_built_ins(spark):
 
 
 def test_broadcast_lookup_beyond_limit_joins(spark):
-    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
-    lookup = spark.createDataFrame([(1, "one")], "key int, name string")
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
+    lookup = spark.createDataFrame([(1, 10), (3, None), (None, 99)], "key int, name int")
     small = udfs.broadcast_lookup(df, "k", lookup, "key", "name", "n")
-    large = udfs.broadcast_lookup(df, "k", lookup, "key", "name", "n", max_entries=0)
-    expected = {(1, "one"), (2, "unknown"), (None, "unknown")}
+    large = udfs.broadcast_lookup(df, "k", lookup, "key", "name", "n", limit_bytes=0)
+    assert small.dtypes == large.dtypes
+    expected = {(1, "10"), (2, "unknown"), (3, "unknown"), (None, "unknown")}
     assert set(map(tuple, small.collect())) == set(map(tuple, large.collect())) == expected

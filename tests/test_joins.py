@@ -124,7 +124,7 @@ def brute(values, bands):
 
 @pytest.mark.parametrize("seed", range(4))
 @pytest.mark.parametrize("broadcast", [True, False])
-def test_band_join_equals_brute_force(spark, conf, seed, broadcast, monkeypatch):
+def test_band_join_equals_brute_force(spark, conf, seed, broadcast):
     draw = random.Random(seed)
     low = [round(draw.uniform(-50, 50), 1) for _ in range(25)]
     bands = [(x, x + draw.choice([0.1, 1, 3, 17.5, 64, 0, -2])) for x in low]
@@ -133,10 +133,8 @@ def test_band_join_equals_brute_force(spark, conf, seed, broadcast, monkeypatch)
     df = spark.createDataFrame([(v,) for v in values], "v double")
     table = spark.createDataFrame(
         [(i, *b) for i, b in enumerate(bands)], "band int, low double, high double")
-    if not broadcast:
-        monkeypatch.setattr("etlkit.operators.bands.MAX_BROADCAST_BINS", 0)
-        conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    joined = band_join(df, "v", table, "low", "high")
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    joined = band_join(df, "v", table, "low", "high", **({} if broadcast else {"limit_bytes": 0}))
     assert joined.columns == ["v", "band", "low", "high"]
     assert sorted((r.v, r.band) for r in joined.collect()) == brute(values, bands)
     expected = "BroadcastHashJoin" if broadcast else "SortMergeJoin"

@@ -13,7 +13,7 @@ from etlkit.plans.etl import EtlJob, first_date_dimensions
 from etlkit.plans.incremental import (
     apply_changes, incremental_load, latest_changes, merge_into_partitions, overwrite_partitions,
 )
-from etlkit.plans.run_log import changed_strategies, record_run
+from etlkit.plans.run_log import changed_strategies, physical_plan, record_run
 from etlkit.session import build_session, options
 from etlkit.settings import SparkSettings, WarehouseSettings
 from etlkit.sources.tables import TableStore
@@ -139,10 +139,7 @@ def test_apply_changes(change_sets):
     assert apply_changes(base, changes.limit(0), ["k"], ["at"]).count() == 3
 
 
-@pytest.mark.parametrize("listed", [5000, 0], ids=["listed", "joined"])
-def test_merge_rewrites_touched_partitions_only(
-        spark, change_sets, tmp_path, monkeypatch, listed):
-    monkeypatch.setattr("etlkit.plans.incremental.MAX_LISTED_PARTITIONS", listed)
+def test_merge_rewrites_touched_partitions_only(spark, change_sets, tmp_path):
     base, changes = change_sets
     base = base.union(spark.createDataFrame(
         [(7, "quiet", 7.0), (8, "gone / x", 8.0), (9, None, 9.0)], base.schema))
@@ -170,14 +167,46 @@ def test_run_log_reports_a_changed_join(spark, tables, tmp_path):
     orders, customers = tables("orders"), tables("customer")
     on = F.col("o_custkey") == F.col("c_custkey")
     log = f"{tmp_path}/log"
-    record_run(spark, log, "same", orders.join(customers.hint("merge"), on), 1)
-    record_run(spark, log, "same", orders.join(customers.hint("merge"), on), 1)
-    record_run(spark, log, "moved", orders.join(customers.hint("broadcast"), on), 1)
-    record_run(spark, log, "moved", orders.join(customers.hint("merge"), on), 1)
+    for name, hint in (("same", "merge"), ("same", "merge"), ("moved", "broadcast"), ("moved", "merge")):
+        joined = orders.join(customers.hint(hint), on)
+        assert record_run(spark, log, name, joined).count() == joined.count()
     assert [tuple(r) for r in changed_strategies(spark, log).collect()] == [
         ("moved", "BroadcastHashJoin", "SortMergeJoin")]
 
 
+def test_run_log_records_the_join_that_ran(spark, tables, tmp_path, conf):
+    """Planned as a sort-merge join, turned into a broadcast join by what the filter left."""
+    conf(spark__sql__autoBroadcastJoinThreshold="1000")
+    few = tables("customer").filter(F.col("c_name").endswith("7")).select("c_custkey").distinct()
+    joined = tables("orders").select("o_orderkey", "o_custkey").join(few, F.col("o_custkey") == F.col("c_custkey"))
+    assert "SortMergeJoin" in physical_plan(joined)
+    record_run(spark, f"{tmp_path}/log", "report", joined)
+    assert spark.read.parquet(f"{tmp_path}/log").first()["join_operators"] == "BroadcastHashJoin"
+
+
+def test_merge_moves_a_key_between_partitions(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    overwrite_partitions(spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0), (3, "b", 3.0)], "k int, p string, v double"), path, ["p"])
+    changes = spark.createDataFrame([(1, "b", 9.0, "U", 1), (3, None, 4.0, "U", 1)], "k int, p string, v double, op string, at int")
+    merge_into_partitions(spark, path, changes, ["k"], ["at"], "p")
+    assert {tuple(r) for r in spark.read.parquet(path).select("k", "p", "v").collect()} == {
+        (1, "b", 9.0), (2, "a", 2.0), (3, None, 4.0)}
+
+
+def test_load_takes_ties_and_rows_without_a_value(spark, tmp_path):
+    def load(rows):
+        source = spark.createDataFrame(rows, "id int, w int")
+        return incremental_load(source, f"{tmp_path}/t", f"{tmp_path}/s", "w")["rows"]
+
+    assert load([(0, None), (1, None)]) == 2
+    assert load([(0, None), (1, None), (1, 5)]) == 1
+    assert load([(0, None), (1, None), (1, 5), (2, 5), (2, 5), (3, None)]) == 3
+    assert load([(0, None), (1, None), (1, 5), (2, 5), (2, 5), (3, None), (4, 6)]) == 1
+    assert load([(0, None), (1, None), (1, 5), (2, 5), (2, 5), (3, None), (4, 6)]) == 0
+    stored = sorted((tuple(r) for r in spark.read.parquet(f"{tmp_path}/t").select("id", "w").collect()), key=str)
+    assert stored == sorted([(0, None), (1, None), (1, 5), (2, 5), (2, 5), (3, None), (4, 6)], key=str)
+
+
 def test_restarted_session_takes_new_static_options():
     code = """
 from etlkit.session import build_session, restart_session, stop_session

@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 from etlkit.operators.sizing import hot_keys
 from etlkit.queries.streams import counts
 from etlkit.streaming.files import (
-    for_each_batch, latest_rows, stream_files, write_batches, write_stream,
+    compact_updates, for_each_batch, latest_rows, stream_files, write_batches, write_stream,
 )
 from etlkit.streaming.state import merge_totals, running_totals
-from etlkit.streaming.windows import session_aggregate, windowed_aggregate
+from etlkit.streaming.windows import session_aggregate, time_span, windowed_aggregate
 
 
 @pytest.fixture
@@ -81,7 +81,7 @@ def test_state_is_the_same_salted_or_not(spark, events, split, tmp_path):
         stream = several(spark, split, events.schema).withColumn("user_id", known)
         totals = running_totals(stream, "user_id", "value", "event_id", hot, 3)
         write_batches(totals, f"{tmp_path}/{label}", f"{tmp_path}/cp-{label}", "update")
-        parts = latest_rows(spark, f"{tmp_path}/{label}", totals.schema, ["key", "salt"])
+        parts = latest_rows(spark, f"{tmp_path}/{label}", totals.schema, ["key", "salt", "part"])
         assert parts.select("salt").distinct().count() == (3 if hot else 1)
         assert {tuple(r) for r in merge_totals(parts).collect()} == expected
 
@@ -118,3 +118,41 @@ def test_start_options_do_not_leak(spark, events, split, tmp_path):
     write_batches(stream, f"{tmp_path}/out", f"{tmp_path}/cp", "complete")
     assert spark.conf.get(name, None) == before
     assert spark.read.parquet(f"{tmp_path}/out").count() == 15
+
+
+def test_rows_behind_the_watermark_fail_the_run(spark, tmp_path):
+    """Files sixty days apart, newest first: a short watermark raises, the measured span loses nothing."""
+    for day in (1, 61, 121):
+        rows = spark.range(200).selectExpr(f"timestamp'2024-01-01' + make_interval(0, 0, 0, {122 - day}, 0, 0, id) as ts", "id")
+        rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stored = spark.read.parquet(f"{tmp_path}/in")
+
+    def run(label, watermark):
+        stream = stream_files(spark, f"{tmp_path}/in", stored.schema, maxFilesPerTrigger=1)
+        hourly = windowed_aggregate(stream, "ts", [F.count(F.lit(1)).alias("n")], "1 hour", watermark=watermark)
+        write_batches(hourly, f"{tmp_path}/{label}", f"{tmp_path}/cp-{label}", "update")
+        return latest_rows(spark, f"{tmp_path}/{label}", hourly.schema, ["window_start", "window_end"])
+
+    with pytest.raises(ValueError, match="later than the watermark"):
+        run("short", "1 day")
+    assert run("span", time_span(stored, "ts")).agg(F.sum("n")).first()[0] == 600
+
+
+def test_idle_state_goes_and_totals_stay(spark, tmp_path):
+    base = "timestamp'2024-01-01'"
+    for hour in (0, 1, 200, 400, 600, 601):
+        spark.range(10).selectExpr(
+            f"{base} + make_interval(0, 0, 0, 0, {hour}, 0, id) as ts", f"{hour} * 100 + id as event_id",
+            f"cast(case when {hour} in (200, 400) then 2 else 1 end as long) as user_id", "1.25 as value"
+        ).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stored = spark.read.parquet(f"{tmp_path}/in")
+    stream = stream_files(spark, f"{tmp_path}/in", stored.schema, maxFilesPerTrigger=1)
+    totals = running_totals(stream, "user_id", "value", "event_id", time_column="ts", lateness="1 hour", idle_ms=3_600_000)
+    query = write_batches(totals, f"{tmp_path}/out", f"{tmp_path}/cp", "update")
+    parts = latest_rows(spark, f"{tmp_path}/out", totals.schema, ["key", "salt", "part"])
+    assert parts.count() > 2 and query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 2
+    assert {tuple(r) for r in merge_totals(parts).collect()} == {(1, 40, 50.0), (2, 20, 25.0)}
+    before = set(parts.collect())
+    compact_updates(spark, f"{tmp_path}/out", totals.schema, ["key", "salt", "part"])
+    assert spark.read.parquet(f"{tmp_path}/out").select("batch_id").distinct().count() == 1
+    assert set(latest_rows(spark, f"{tmp_path}/out", totals.schema, ["key", "salt", "part"]).collect()) == before

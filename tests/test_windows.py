@@ -3,7 +3,10 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
+from etlkit.operators import windows
+from etlkit.operators.sizing import hot_keys
 from etlkit.operators.windows import forward_fill, number_rows
+from plan_asserts import initial_plan
 
 
 @pytest.fixture
@@ -42,14 +45,12 @@ def test_forward_fill_of_empty_frame(series):
     assert empty.schema.names == series.schema.names and empty.count() == 0
 
 
-def test_numeric_order_needs_a_chunk(series):
-    with pytest.raises(ValueError, match="chunk"):
-        forward_fill(series, ["v"], ["key"], ["id"])
-    by_id = forward_fill(series, ["v"], ["key"], ["id"], chunk=F.floor(F.col("id") / 50))
-    window = (Window.partitionBy("key").orderBy("id")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    expected = series.withColumn("v", F.last("v", True).over(window))
-    assert set(by_id.collect()) == set(expected.collect())
+def test_numeric_and_null_order(series):
+    gaps = series.withColumn("at", F.when(F.col("id") % 7 != 0, F.col("minute")))
+    filled = forward_fill(gaps, ["v"], ["key"], ["at", "id"], share=0.0001)
+    window = Window.partitionBy("key").orderBy("at", "id")
+    expected = gaps.withColumn("v", F.last("v", True).over(window.rowsBetween(Window.unboundedPreceding, 0)))
+    assert set(filled.collect()) == set(expected.collect())
 
 
 @pytest.mark.parametrize("share", [0.0001, 0.2, 2.0])
@@ -60,10 +61,20 @@ def test_number_rows_equals_row_number(series, share):
     assert set(numbered.collect()) == set(expected.collect())
 
 
-def test_hot_key_is_spread_over_its_chunks(series):
-    """No (key, chunk) group holds more than a small part of the hot key's rows."""
-    numbered = number_rows(series, ["key"], ["ts", "id"], share=0.2)
-    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
-    assert "__chunk" in plan
-    hot = series.filter("key = 'hot'").groupBy(F.date_trunc("hour", "ts")).count()
-    assert hot.agg(F.max("count")).first()[0] < 0.3 * series.filter("key = 'hot'").count()
+def test_a_hot_key_at_one_moment_is_spread(spark):
+    """One key with 90% of the rows, all of one date, is cut into chunks of like size."""
+    rows = spark.range(20_000).selectExpr(
+        "id", "case when id % 10 = 0 then id else -1 end as key", "date'2024-01-01' as day",
+        "case when id % 13 = 0 then id end as v").repartition(6)
+    hot = hot_keys(rows, ["key"], 0.2)
+    cut = windows._with_chunks(rows, ["key"], ["day", "id"], hot)
+    sizes = [r["count"] for r in cut.filter("key = -1").groupBy("__chunk").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 2.5 * 18_000 / len(sizes)
+    assert cut.filter("key <> -1 AND __chunk IS NOT NULL").count() == 0
+    ordered = cut.filter("key = -1").groupBy("__chunk").agg(F.min("id").alias("low"), F.max("id").alias("high")) \
+        .orderBy("__chunk").collect()
+    assert all(a["high"] < b["low"] for a, b in zip(ordered, ordered[1:]))
+    numbered = number_rows(rows, ["key"], ["day", "id"], share=0.2)
+    expected = rows.withColumn("row_number", F.row_number().over(Window.partitionBy("key").orderBy("day", "id")).cast("long"))
+    assert numbered.exceptAll(expected).count() == 0 and numbered.count() == 20_000
+    assert initial_plan(numbered).count("Exchange hash") <= 3  # the data once, the table of chunks twice
