@@ -122,8 +122,8 @@ def salted_aggregate(
     salts = salts or (salts_for(df, hot) if keys else shuffle_partitions(df))
     needed = list(dict.fromkeys((c, base) for c, f in pairs for base in _PARTIAL[f][0]))
     names = {pair: f"__p{i}" for i, pair in enumerate(needed)}
-    salt = row_salt(df, salts)
     used = df.select(*dict.fromkeys([*group_by_columns, *[c for c, _ in pairs]]))
+    salt = row_salt(used, salts)
     partial = (
         used.withColumn("__salt", F.when(is_hot(used, keys, hot), salt).otherwise(0) if keys else salt)
         .groupBy(*group_by_columns, "__salt")

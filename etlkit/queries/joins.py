@@ -203,6 +203,25 @@ def join_hot_key_split(spark, sf):
     return hot_key_split_join(hub_orders(spark, sf), hubs(spark, sf), ["hub"])
 
 
+HUB_LEFT_SQL = HUB_SQL.replace(
+    "FROM o JOIN customer ON hub = c_custkey",
+    "FROM o LEFT JOIN customer ON hub = c_custkey AND c_mktsegment <> 'BUILDING'")
+
+
+def some_hubs(spark, sf):
+    return hubs(spark, sf).filter("c_mktsegment <> 'BUILDING'")
+
+
+@query("join_salted_left", HUB_LEFT_SQL)
+def join_salted_left(spark, sf):
+    return salted_join(hub_orders(spark, sf), some_hubs(spark, sf), ["hub"], "left")
+
+
+@query("join_hot_key_split_left", HUB_LEFT_SQL)
+def join_hot_key_split_left(spark, sf):
+    return hot_key_split_join(hub_orders(spark, sf), some_hubs(spark, sf), ["hub"], "left")
+
+
 WEIGHTS = [("1-URGENT", 1.5), ("2-HIGH", 1.2), ("3-MEDIUM", 1.0), ("5-LOW", 0.5)]
 WEIGHT_SCHEMA = "o_orderpriority string, multiplier double"
 WEIGHTS_SQL = """(VALUES ('1-URGENT', CAST(1.5 AS DOUBLE)), ('2-HIGH', CAST(1.2 AS DOUBLE)),

@@ -9,7 +9,9 @@ from etlkit.operators.layout import (
 )
 from etlkit.operators.metrics import exact_sum
 from etlkit.operators.nulls import handle_null_values, remove_duplicates
-from etlkit.operators.quality import check_data_quality, check_rules, tag_violations
+from etlkit.operators.quality import (
+    check_data_quality, check_rules, split_by_rules, tag_violations,
+)
 from etlkit.operators.windows import number_rows
 from etlkit.queries.registry import query, table
 
@@ -99,6 +101,18 @@ def quality_split(spark, sf):
     return tagged.select("o_orderkey", "violations")
 
 
+@query("quality_quarantine", GAPS_SQL + """
+SELECT o_orderkey, o_orderpriority IS NULL OR NOT coalesce(NOT isnan(o_totalprice) AND o_totalprice < 400000, false) AS quarantined
+FROM o""")
+def quality_quarantine(spark, sf):
+    passing, quarantined = split_by_rules(orders_with_gaps(spark, sf), {
+        "priority_known": "o_orderpriority IS NOT NULL",
+        "price_range": "NOT isnan(o_totalprice) AND o_totalprice < 400000",
+    })
+    return passing.select("o_orderkey", F.lit(False).alias("quarantined")).union(
+        quarantined.select("o_orderkey", F.lit(True)))
+
+
 @query("nulls_drop", GAPS_SQL + """
 SELECT * FROM o WHERE o_orderpriority IS NOT NULL AND o_totalprice IS NOT NULL
                       AND NOT isnan(o_totalprice)""")

@@ -14,7 +14,7 @@ from etlkit.settings import WarehouseSettings
 from etlkit.sources.catalog import collect_stats, drop_table, register_external_table
 from etlkit.sources.fanout import fan_out
 from etlkit.sources.tables import (
-    TableStore, describe_columns, range_rows, read_path, write_path,
+    TableStore, range_rows, read_path, write_path,
 )
 from etlkit.workspace import new_path
 
@@ -43,13 +43,13 @@ def sql_query(spark, sf):
 
 
 @query("table_metadata", """
-SELECT 'orders' AS table_id, count(*) AS num_rows, u.position, u.column_name, u.data_type, 'NULLABLE' AS mode
+SELECT 'orders.parquet' AS table_id, count(*) AS num_rows, u.position, u.column_name, u.data_type, 'NULLABLE' AS mode
 FROM orders, (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'), (2, 'o_orderstatus', 'string'),
      (3, 'o_totalprice', 'double'), (4, 'o_orderdate', 'timestamp_ntz'), (5, 'o_orderpriority', 'string'))
      AS u(position, column_name, data_type)
 GROUP BY ALL""")
 def table_metadata(spark, sf):
-    return describe_columns(table(spark, sf, "orders"), "orders").select(
+    return store(spark, sf).get_table_schema("orders.parquet").select(
         "table_id", "num_rows", "position", "column_name", "data_type", "mode")
 
 
@@ -133,6 +133,20 @@ def write_modes(spark, sf):
     raise AssertionError("writing over an existing table in mode 'error' must fail")
 
 
+@query("catalog_write_modes", "SELECT * FROM customer")
+def catalog_write_modes(spark, sf):
+    """The modes on a catalog table; ignore leaves the table that is there."""
+    customers, name = table(spark, sf, "customer"), f"people_{uuid4().hex}"
+    catalog, path = TableStore(spark, WarehouseSettings(format="table")), new_path(spark, "people")
+    in_debt = F.coalesce(F.col("c_acctbal") < 0, F.lit(False))
+    catalog.write_table(customers.filter(in_debt), name, mode="overwrite", path=path)
+    catalog.write_table(customers.filter(~in_debt), name, mode="append", path=path)
+    catalog.write_table(customers, name, mode="ignore", path=path)
+    found = catalog.read_table(name)
+    drop_table(spark, name)  # the files stay, and the frame above reads them
+    return found
+
+
 @query("write_daily_partitions", "SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events")
 def write_daily_partitions(spark, sf):
     events, target = table(spark, sf, "events"), store(spark, new_path(spark, "daily"))

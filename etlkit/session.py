@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -9,6 +10,8 @@ from pyspark.sql import SparkSession
 
 from etlkit.settings import SparkSettings
 
+logger = logging.getLogger(__name__)
+
 # Defaults that suit both a laptop and a large cluster. Executor count, memory
 # and shuffle partitions belong to the deployment and come from settings.
 DEFAULTS = {
@@ -31,16 +34,20 @@ def build_session(
 ) -> SparkSession:
     """Get or create a session; ``overrides`` win over settings and defaults.
 
-    On a running session the modifiable overrides are applied, so a second call
-    is never silently ignored. A static option that would need a restart raises.
+    On a running session the given settings and overrides are applied as far as they can
+    change, so a second call is never silently ignored. A static option that would need a
+    restart raises; another application name is logged, since the name stays.
     """
+    given = {**(settings.as_conf() if settings else {}), **(overrides or {})}
     settings = settings or SparkSettings.from_env()
     wanted = {**DEFAULTS, **settings.as_conf(), **(overrides or {})}
     if app_name:
         wanted["spark.app.name"] = app_name
     active = SparkSession.getActiveSession()
     if active is not None:
-        for key, value in (overrides or {}).items():
+        if app_name and app_name != active.sparkContext.appName:
+            logger.warning("the running session keeps its name %r", active.sparkContext.appName)
+        for key, value in given.items():
             if str(active.conf.get(key, None)) == str(value):
                 continue
             if not active.conf.isModifiable(key):

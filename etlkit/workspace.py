@@ -27,6 +27,8 @@ def shared_root(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="etlkit-")
+        system, path = file_system(spark, _local_roots[app])
+        system.deleteOnExit(path)
     return _local_roots[app]
 
 
@@ -58,6 +60,6 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point ``DataFrame.checkpoint`` at the shared folder if nothing has yet."""
+    """Point ``DataFrame.checkpoint`` at the application's folder if nothing has yet."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
+        spark.sparkContext.setCheckpointDir(f"{run_root(spark)}/checkpoints")

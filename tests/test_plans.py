@@ -92,7 +92,8 @@ def test_ordered_windows_shuffle_the_data_once(spark, tables):
         numbered = number_rows(events, ["user_id"], ["ts", "event_id"], share=share)
         for df in (filled, numbered):
             text = initial_plan(df)
-            assert exchanges(text) <= most and not joins(text)
+            # Hot keys bring their chunk borders along by a broadcast of a small table.
+            assert exchanges(text) <= most and set(joins(text)) <= ({"BroadcastHashJoin"} if most > 1 else set())
 
 
 def test_coalesce_adds_no_shuffle(plan):
