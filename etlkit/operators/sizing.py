@@ -60,11 +60,11 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = 0.01) -> dict[int, f
     """Hashes of keys that hold more than ``share`` of the rows, with their share.
 
     One scan of the key columns with a frequent-items sketch per task. Sketches are
-    merged first by groups of tasks and then to one, so that no task receives those
-    of the whole scan; rows are not shuffled. At most ``1 / share`` keys can qualify,
-    so the result is bounded. The sketch's error is under a quarter of ``share`` and
-    never hides a hot key; a key just below the threshold may be included, which is
-    harmless because hot keys are only laid out differently, never dropped.
+    merged by groups of tasks, then by groups of these and then to one, so that no task
+    receives more than a few; rows are not shuffled. The sketch tracks ``12 / share``
+    keys, which bounds the result. Its error is under a quarter of ``share``: a key just
+    below the threshold may be included, which is harmless because hot keys are only
+    laid out differently, never dropped.
     """
     k = math.ceil(1 / share)
     tracked = 12 * k
@@ -72,9 +72,11 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = 0.01) -> dict[int, f
         by_tasks(df.select(key_hash(df, keys).alias("h")))
         .agg(F.count(F.lit(1)).alias("n"),
              F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"))
+        .groupBy(F.pmod("tasks", F.lit(math.isqrt(shuffle_partitions(df)) + 1)).alias("tasks"))
+        .agg(F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
         .groupBy(F.lit("all").alias("tasks"))
         .agg(F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
-        .select("n", F.expr(f"approx_top_k_estimate(sketch, {k})").alias("top"))
+        .select("n", F.expr(f"approx_top_k_estimate(sketch, {tracked})").alias("top"))
         .first()
     )
     if merged is None:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from etlkit.operators.layout import BALANCED_WRITE, balanced
+from etlkit.operators.layout import BALANCED_WRITE, TARGET_FILE_BYTES, balanced, stored_bytes
 from etlkit.operators.reuse import measured, observed, staged
 from etlkit.session import options
 from etlkit.workspace import file_system
@@ -117,6 +118,20 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def compact_partition(
+    spark: SparkSession, path: str, partition_by: str, value: Any, target_bytes: int = TARGET_FILE_BYTES
+) -> None:
+    """Rewrite one partition of a folder as files near ``target_bytes``; the others stay.
+
+    The rows are staged in their new files' layout, then replace the partition.
+    """
+    rows = spark.read.parquet(path).filter(F.col(partition_by).eqNullSafe(F.lit(value)))
+    files = max(1, math.ceil(stored_bytes(rows) / target_bytes))
+    kept = staged(rows.coalesce(files), "compact")
+    (kept.coalesce(files).write.mode("overwrite").partitionBy(partition_by)
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
+
+
 def merge_into_partitions(
     spark: SparkSession,
     path: str,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from etlkit.operators.reuse import iterate
 from etlkit.plans.etl import EtlJob
 from etlkit.plans.incremental import (
-    apply_changes, incremental_load, merge_into_partitions, overwrite_partitions, read_evolving,
+    apply_changes, compact_partition, incremental_load, merge_into_partitions, overwrite_partitions, read_evolving,
 )
 from etlkit.plans.run_log import SCHEMA, changed_strategies, record_run
 from etlkit.queries.joins import flagship_revenue
@@ -131,6 +131,16 @@ def partition_overwrite(spark, sf):
     return spark.read.parquet(path).select(*orders.columns)
 
 
+@query("compact_partition", "SELECT o_orderkey, o_orderpriority FROM orders")
+def compact_partition_query(spark, sf):
+    """One priority, written in many small files, is rewritten in place."""
+    path = new_path(spark, "compact-one")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    orders.repartition(8).write.partitionBy("o_orderpriority").parquet(path)
+    compact_partition(spark, path, "o_orderpriority", "2-HIGH")
+    return spark.read.parquet(path).select(*orders.columns)
+
+
 @query("schema_evolution", """
 SELECT p_partkey, p_name, CASE WHEN p_size >= 25 THEN p_retailprice END AS p_retailprice FROM part""")
 def schema_evolution(spark, sf):

@@ -99,7 +99,10 @@ class TableStore:
         """
         if self.format == "table" or self.by_path:
             return self.spark.sql(query, args=dict(args or {}), **(views or {}))
-        named = self._connector_options(query=query)
+        # A connector keeps the result of a remote query in a table of its own.
+        named = self._connector_options(
+            query=query, viewsEnabled="true", materializationDataset=self.settings.dataset,
+            materializationProject=self.settings.parent_project or self.settings.project)
         return self.spark.read.format(self.format).options(**{**named, **options}).load()
 
     def write_table(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from etlkit.plans import job
 from etlkit.plans.etl import EtlJob, first_date_dimensions
 from etlkit.plans.incremental import (
-    apply_changes, incremental_load, latest_changes, merge_into_partitions, overwrite_partitions,
+    apply_changes, compact_partition, incremental_load, latest_changes, merge_into_partitions, overwrite_partitions,
 )
 from etlkit.plans.run_log import changed_strategies, physical_plan, record_run
 from etlkit.session import build_session, options
@@ -184,6 +184,18 @@ def test_run_log_records_the_join_that_ran(spark, tables, tmp_path, conf):
     assert spark.read.parquet(f"{tmp_path}/log").first()["join_operators"] == "BroadcastHashJoin"
 
 
+def test_compaction_of_one_partition(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    df = spark.range(400).selectExpr("id", "case when id % 2 = 0 then 'a' else null end as p")
+    df.repartition(4).write.partitionBy("p").parquet(path)
+    others = sorted(glob.glob(f"{path}/p=__HIVE*/*.parquet"))
+    assert len(glob.glob(f"{path}/p=a/*.parquet")) == 4
+    compact_partition(spark, path, "p", "a")
+    assert len(glob.glob(f"{path}/p=a/*.parquet")) == 1
+    assert sorted(glob.glob(f"{path}/p=__HIVE*/*.parquet")) == others
+    assert spark.read.parquet(path).select("id", "p").exceptAll(df).count() == 0 and spark.read.parquet(path).count() == 400
+
+
 def test_merge_moves_a_key_between_partitions(spark, tmp_path):
     path = f"{tmp_path}/t"
     overwrite_partitions(spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0), (3, "b", 3.0)], "k int, p string, v double"), path, ["p"])
