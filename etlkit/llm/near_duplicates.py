@@ -11,8 +11,9 @@ for the groups are confirmed on the full sets.
 Groups, not pairs, are wanted, so no group is expanded into all its pairs. Equal sets form a
 class and only its first row goes on. In each star round every row is compared, over all keys
 it shares, with one row per key, and confirmed against the one nearest by signature. When a
-round adds no link, pairs under one key whose rows are still in different components are all
-compared: after that no link between two components is left out.
+round adds no link, rows whose keys are still shared with other components are compared in
+full, where they also share one of the rarest shingles that two sets alike must share: after
+that no link between two components is left out.
 
 Cases: a null or empty text, or one without words, has an empty set and is linked with nothing;
 fewer than five words make one shingle; rows of the same id are separate rows of a group; a
@@ -42,10 +43,16 @@ DISTANCE = 31
 # Linked: 100 * intersection >= PERCENT * union.
 PERCENT = 85
 # Star rounds before what is left is compared in full.
-ROUNDS = 4
+ROUNDS = 3
+# Up to so many first shingles of a set, each carries those before it, so that two sets meet
+# once, at the first one they share; longer sets meet at each, which only costs more.
+CARRIED = 64
+# Counters of shingles, as a power of two.
+COUNTER_BITS = 21
 
 _FACTORS, _OFFSETS = seeds(HASHES, 6)
 _LONGS = [f"s{i}" for i in range(HASHES * BITS // 64)]
+_FIRST = "shingle long, row long, label long, after long, n_shingles long, before array<long>"
 _SIGNED = ", ".join(["row long", "n_shingles long", "print binary", *(f"{s} long" for s in _LONGS)])
 
 
@@ -126,6 +133,51 @@ def _confirm(percent: int):
     return run
 
 
+def _counter(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def _count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << COUNTER_BITS, np.int64)
+    for batch in slices(batches, "text"):
+        values, _ = shingle_hashes(*word_hashes(batch["text"].to_pylist()))
+        total += np.bincount(_counter(values), minlength=len(total))
+    seen = np.flatnonzero(total)
+    yield pa.record_batch({"place": seen, "n": total[seen]})
+
+
+def shingle_counts(texts: DataFrame) -> np.ndarray:
+    """How often shingles occur, in a table of fixed size by their hash. Runs a job; a task
+    sends one count per counter at most. Counters that two shingles share only make the
+    order of shingles less sharp."""
+    counted = texts.mapInArrow(_count_shingles, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << COUNTER_BITS, np.int64)
+    counts[counted["place"].to_numpy()] = counted["n"].to_numpy()
+    return counts.clip(max=np.iinfo(np.int32).max).astype(np.int32)
+
+
+def _first_shingles(counts: np.ndarray, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            firsts, wholes = [], []
+            for text in batch["text"].to_pylist():
+                own = shingle_set(text)
+                wholes.append(len(own))
+                # Of two sets alike, each has ceil(percent * n / 100) elements in common with the other.
+                size = len(own) - -(-percent * len(own) // 100) + 1
+                firsts.append(own[np.lexsort((own, counts[_counter(own)]))[:size]].view(np.int64))
+            sizes = [len(f) for f in firsts]
+            # Shingles of the set from this one on, itself included.
+            after = [np.arange(n, n - len(f), -1) for f, n in zip(firsts, wholes)]
+            before = [f[:i] if len(f) <= CARRIED else f[:0] for f in firsts for i in range(len(f))]
+            yield pa.record_batch({
+                "shingle": np.concatenate(firsts), "row": np.repeat(batch["row"].to_numpy(), sizes),
+                "label": np.repeat(batch["label"].to_numpy(), sizes), "after": np.concatenate(after),
+                "n_shingles": np.repeat(wholes, sizes), "before": pa.array(before, pa.list_(pa.int64()))})
+
+    return run
+
+
 class NearDuplicates:
     """The groups of ``docs``. Building one runs the jobs; the results are tables."""
 
@@ -140,34 +192,36 @@ class NearDuplicates:
             self.signed.filter("print IS NOT NULL").groupBy("print")
             .agg(F.min_by(F.struct("row", "n_shingles", *_LONGS), "row").alias("first"))
             .select("print", "first.*"), "classes")
-        self.links = self._links()
+        self.labels = self._labels()
 
-    def _links(self) -> DataFrame:
-        """Confirmed links ``a, b`` between first rows of classes, enough to join every component."""
+    def _labels(self) -> DataFrame:
+        """``row, label``: the component of every class that shares a key."""
         keys = self.classes.select("row", *_LONGS).mapInArrow(_index, "key long, row long")
         shared = keys.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high")) \
             .filter("low < high").select("key")
         self.keys = staged(keys.join(shared, "key"), "keys")
-        self.named = staged(self.keys.select("row").distinct(), "compared")
+        named = staged(self.keys.select("row").distinct(), "compared")
         # Texts of rows that share a key, from which sets are built where they are compared.
-        wanted = broadcast_if_small(self.named)
+        wanted = broadcast_if_small(named)
         self.texts = staged(
             self.rows.select("row", F.col(f"doc.`{self.text}`").alias("text")).join(wanted, "row", "left_semi"), "texts")
-        none = self.keys.sparkSession.createDataFrame([], "a long, b long")
-        links, labels = none, self.named.select("row", F.col("row").alias("label"))
+        labels = named.select("row", F.col("row").alias("label"))
         for turn in range(ROUNDS):
             found = staged(self._confirmed(self._stars(labels, turn)), "found")
             if found.isEmpty():
                 break
-            links = links.union(found)
-            labels = self._labels(links)
-        rest = staged(self._confirmed(self._across(labels)), "found")
-        return links.union(rest)
-
-    def _labels(self, links: DataFrame) -> DataFrame:
-        joined = connected_components(links).withColumnRenamed("id", "row").withColumnRenamed("root", "label")
-        return staged(self.named.join(joined, "row", "left").select(
-            "row", F.coalesce("label", "row").alias("label")), "labels")
+            labels = self._joined(labels, found)
+        found = staged(self._confirmed(self._across(labels)), "found")
+        return labels if found.isEmpty() else self._joined(labels, found)
+
+    def _joined(self, labels: DataFrame, links: DataFrame) -> DataFrame:
+        """Labels after joining the components that confirmed links ``a, b`` connect."""
+        first = labels.select(F.col("row").alias("a"), F.col("label").alias("label_a"))
+        second = labels.select(F.col("row").alias("b"), F.col("label").alias("label_b"))
+        between = links.join(first, "a").join(second, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+        roots = connected_components(between).withColumnRenamed("id", "label")
+        return staged(labels.join(roots, "label", "left").select(
+            "row", F.coalesce("root", "label").alias("label")), "labels")
 
     def _mixed(self, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
         """Keys whose rows are in different components: their rows, and one row of each."""
@@ -193,16 +247,28 @@ class NearDuplicates:
         return self._near(pairs).groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")).select("a", "b")
 
     def _across(self, labels: DataFrame) -> DataFrame:
-        """All near pairs under one key that are in different components."""
+        """All near pairs that are still in different components, among rows that share a key.
+
+        Two sets that are alike share one of the first shingles of each in any common order,
+        and from the first one they share on, both have enough shingles left. With rare
+        shingles first, a text with many changes of its own meets nobody. Shingles are ordered
+        by how often these texts hold them.
+        """
         labelled, mixed = self._mixed(labels, ROUNDS)
-        rows = labelled.join(mixed.select("key"), "key")
-        rows = staged(rows.join(self.classes.select("row", F.struct("n_shingles", *_LONGS).alias("sig")), "row"), "mixed")
-        first = rows.select("key", F.col("row").alias("a"), F.col("label").alias("label_a"), F.col("sig").alias("sig_a"))
-        second = rows.select("key", F.col("row").alias("b"), F.col("label").alias("label_b"), F.col("sig").alias("sig_b"))
-        low, high = F.least("sig_a.n_shingles", "sig_b.n_shingles"), F.greatest("sig_a.n_shingles", "sig_b.n_shingles")
-        return first.join(
-            second, (first["key"] == second["key"]) & (F.col("label_a") < F.col("label_b"))
-            & (low * 100 >= high * self.percent) & (distance("sig_a", "sig_b") <= DISTANCE)).select("a", "b").distinct()
+        open_rows = labelled.join(mixed.select("key"), "key").select("row", "label").distinct()
+        rows = staged(self.texts.join(open_rows, "row"), "mixed")
+        counts = shingle_counts(rows.select("text"))
+        first = staged(rows.mapInArrow(_first_shingles(counts, self.percent), _FIRST), "first")
+        shared = first.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
+            .filter("low < high").select("shingle")
+        first = staged(first.join(shared, "shingle"), "first-shared")
+        other = first.select("shingle", F.col("row").alias("b"), F.col("label").alias("label_b"), F.col("after").alias("after_b"),
+                             F.col("n_shingles").alias("n_b"), F.col("before").alias("before_b"))
+        enough = F.least("after", "after_b") * (100 + self.percent) >= (F.col("n_shingles") + F.col("n_b")) * self.percent
+        pairs = first.join(other, "shingle").filter(
+            (F.col("label") < F.col("label_b")) & enough & ~F.arrays_overlap("before", "before_b")) \
+            .select(F.col("row").alias("a"), "b").distinct()
+        return self._near(pairs).select("a", "b")
 
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are alike by their full sets."""
@@ -212,9 +278,8 @@ class NearDuplicates:
 
     def groups(self) -> DataFrame:
         """``row, doc_id, n_shingles, component_id`` and ``stays`` (one row of each group)."""
-        roots = connected_components(self.links)
-        classes = self.classes.select("print", "row").join(roots, F.col("row") == F.col("id"), "left") \
-            .select("print", F.coalesce("root", "row").alias("root"))
+        classes = self.classes.select("print", "row").join(self.labels, "row", "left") \
+            .select("print", F.coalesce("label", "row").alias("root"))
         rows = self.signed.select("row", "n_shingles", "print").join(
             self.rows.select("row", F.col(f"doc.`{self.doc_id}`").alias("doc_id")), "row")
         alone = rows.filter("print IS NULL").withColumn("root", F.col("row"))

@@ -116,3 +116,19 @@ def test_components_of_a_chain(spark, n):
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001)], "a long, b long")
     got = {r["id"]: r["root"] for r in connected_components(links).collect()}
     assert got == {**{i: 0 for i in range(n + 1)}, 1000: 1000, 1001: 1000}
+
+
+def test_a_ball_of_copies_with_different_numbers_of_edits(spark):
+    """Most pairs are near but not linked; every link that joins two groups is found."""
+    rng = random.Random(9)
+    base = [f"v{i}" for i in range(146)]
+    rows = []
+    for i in range(250):
+        copy = list(base)
+        for place in rng.sample(range(146), rng.randrange(9)):
+            copy[place] = f"e{i}x{place}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = brute(rows)
+    assert len({c for _, _, c in groups}) > 50
+    assert found(near_duplicates.NearDuplicates(docs).groups()) == groups
