@@ -1,4 +1,4 @@
-"""Token ids of texts from a public vocabulary file, kept per piece of text between spaces."""
+"""Token ids of texts from a public vocabulary file, kept per piece of text."""
 
 from __future__ import annotations
 
@@ -8,25 +8,32 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import public_tokenizers
+import regex
 
-# Pieces kept per Python worker; about 200 bytes each. The table is emptied when full.
-KEPT_PIECES = 400_000
-# Pieces handed to the library at once.
-BATCH = 5_000
+# Kept per Python worker, about 200 bytes each: text between spaces, and the parts that the
+# vocabulary's pattern cuts it into. A table is emptied when full.
+KEPT_PIECES = 1_000_000
+KEPT_PARTS = 500_000
+# Parts handed to the library as one text.
+BATCH = 256
+# Characters below are letters or not in any version of Unicode.
+_SETTLED = "\u0250"
 
 
 class TextEncoder:
     """Ids as the ``tokenizers`` library gives them, without special tokens around the text.
 
     A byte-level vocabulary cuts a text before every space that stands between two other
-    characters, so what lies between two such spaces has the same ids in every text; they
-    are asked of the library once and kept. A text with white space in other places, or with
-    the string of a special token, goes to the library as a whole.
+    characters, so what lies between two such spaces has the same ids in every text. It is
+    cut by the vocabulary's pattern, and the library is asked once for each part. A text with
+    white space in other places, or with the string of a special token, goes to the library
+    as a whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
@@ -42,26 +49,64 @@ class TextEncoder:
                          and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
                          and not cut.get("add_prefix_space"))
         self.kept: dict[str, bytes | bool] = {}
+        self.parts: dict[str, bytes] = {}
+        if self.by_piece:
+            # The same merges on text in the byte alphabet, cut only where a line ends.
+            alphabet = sorted(pre_tokenizers.ByteLevel.alphabet())
+            shown = [c for c in alphabet if ord(c) < 256]
+            rest = iter(c for c in alphabet if ord(c) >= 256)
+            self.bytes_to_text = {b: chr(b) if chr(b) in shown else next(rest) for b in range(256)}
+            self.end = self.bytes_to_text[10]
+            self.end_id = parts["model"]["vocab"][self.end]
+            self.merges = Tokenizer.from_file(path)
+            self.merges.pre_tokenizer = pre_tokenizers.Split(self.end, "isolated")
+            self.cut = regex.compile(public_tokenizers.PATTERN).findall
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(f.ids, self.dtype).tobytes() for f in found]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn_parts(self, parts: list[str]) -> None:
+        """Keep the ids of parts; many go to the library as the lines of one text."""
+        if len(self.parts) + len(parts) > KEPT_PARTS:
+            self.parts.clear()
+        lines = [p for p in parts if "\n" not in p]
+        others = [p for p in parts if "\n" in p]
+        self.parts.update(zip(others, self.whole(others), strict=True))
+        width = self.dtype.itemsize
+        for start in range(0, len(lines), BATCH):
+            part = lines[start:start + BATCH]
+            text = "\n".join(part).encode().decode("latin-1").translate(self.bytes_to_text)
+            ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            ends = [*np.flatnonzero(ids == self.end_id).tolist(), len(ids)]
+            data, at = ids.tobytes(), 0
+            for line, end in zip(part, ends, strict=True):
+                self.parts[line] = data[width * at:width * end]
+                at = end + 1
+
+    def _learn(self, pieces: set[str]) -> None:
         """Keep the ids of pieces; False for those whose ids depend on what is next to them."""
-        if len(self.kept) + len(pieces) > KEPT_PIECES:
-            self.kept.clear()
-        alone = []
+        cut, alone = {}, []
         for piece in pieces:
-            text = piece.lstrip(" ")
-            if not text or text[0].isspace() or text[-1].isspace():
+            bare, text = (piece[1:], piece[1:]) if piece[:1] == " " else (piece, " " + piece)
+            if not bare or bare[0].isspace() or bare[-1].isspace():
                 self.kept[piece] = False
+            elif not bare.isascii() and max(bare) >= _SETTLED:
+                alone.append((piece, text))
+            elif bare.isalpha():
+                cut[piece] = text,
+            elif bare[-1] in ".," and bare[:-1].isalpha():
+                cut[piece] = text[:-1], bare[-1]
             else:
-                alone.append(piece)
-        for start in range(0, len(alone), BATCH):
-            part = alone[start:start + BATCH]
-            texts = [p[1:] if p[0] == " " else " " + p for p in part]
-            self.kept.update(zip(part, self.whole(texts), strict=True))
+                cut[piece] = self.cut(text)
+        new = {part for parts in cut.values() for part in parts if part not in self.parts}
+        if len(self.parts) + len(new) > KEPT_PARTS:
+            new = set(chain.from_iterable(cut.values()))
+        self._learn_parts(list(new))
+        known = self.parts.__getitem__
+        for piece, parts in cut.items():
+            self.kept[piece] = known(parts[0]) if len(parts) == 1 else b"".join(map(known, parts))
+        self.kept.update(zip([p for p, _ in alone], self.whole([t for _, t in alone]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned integers of ``dtype``."""
@@ -72,22 +117,22 @@ class TextEncoder:
             pieces = text.split(" ")
             pieces[0] = " " + pieces[0]  # holds a space, as no other does: a text's first piece
             cut.append(pieces)
-        flat = list(chain.from_iterable(cut))
-        ids = list(map(self.kept.get, flat))
-        new = list({p for p, known in zip(flat, ids) if known is None})
+        wanted = set(chain.from_iterable(cut))
+        new = wanted.difference(self.kept)
+        if len(self.kept) + len(new) > KEPT_PIECES:
+            self.kept.clear()
+            new = wanted
         if new:
-            kept = self.kept
             self._learn(new)
-            learned = {p: kept[p] for p in new}
-            ids = [learned[p] if known is None else known for p, known in zip(flat, ids)]
-        out, at = [], 0
+        out, known = [], self.kept.__getitem__
         for text, pieces in zip(texts, cut):
-            own = ids[at:at + len(pieces)]
-            at += len(pieces)
-            if False in own or any(s in text for s in self.special):
+            if any(s in text for s in self.special):
+                out.append(self.whole([text])[0])
+                continue
+            try:
+                out.append(b"".join(map(known, pieces)))
+            except TypeError:  # a piece is False
                 out.append(self.whole([text])[0])
-            else:
-                out.append(b"".join(own))
         return out
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Words are runs of anything but ASCII white space; bytes.split() cuts at the same six bytes.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 # Text taken into Python lists at once, so that a batch of very long texts stays small.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def word_count(text: str) -> Column:
