@@ -36,43 +36,68 @@ SMOOTHING = 200.0
 # Log-probability of a character that no piece covers.
 UNSEEN = -16.0
 # Words kept per Python worker with their scores; the table is emptied when full.
-KEPT = 500_000
+KEPT = 700_000
 # Cells of a forward table (words x positions) filled together.
 BATCH_CELLS = 1 << 18
 
 _LETTERS = r"\p{L}[\p{L}\p{M}]*"
 _WORDS = regex.compile(_LETTERS)
+# Byte table: ASCII characters that are no letters become white space.
+_APART = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 
 
 class Lattice:
-    """The vocabulary as a prefix table: the letter-only pieces of a public file."""
+    """The letter-only pieces of a public file as a prefix tree, walked by whole arrays."""
 
     def __init__(self, path: str):
         own = regex.compile(rf"{SPACE}?[\p{{L}}\p{{M}}]*")
-        pieces = [p for p, _ in read_pieces(path) if own.fullmatch(p) and p == p.lower()]
-        self.size = len(pieces)
-        self.nodes: dict[str, int] = {p[:i]: -1 for p in pieces for i in range(1, len(p))}
-        self.nodes |= {p: i for i, p in enumerate(pieces)}
+        self.pieces = [p for p, _ in read_pieces(path) if own.fullmatch(p) and p == p.lower()]
+        self.size = len(self.pieces)
+        states = {p[:i]: 0 for p in self.pieces for i in range(1, len(p) + 1)}
+        states = {prefix: state for state, prefix in enumerate(sorted(states), 1)}
+        letters = {c: i for i, c in enumerate(sorted({c for p in self.pieces for c in p if len(p) > 1}), 1)}
+        # Characters of longer pieces have columns in the table of steps; the others are pieces
+        # of one character or none.
+        self.columns = np.zeros(0x110000, np.int32)
+        self.columns[[ord(c) for c in letters]] = list(letters.values())
+        self.steps = np.zeros((len(states) + 1, len(letters) + 1), np.int32)
+        for prefix, state in states.items():
+            if prefix[-1] in letters and (len(prefix) == 1 or prefix[:-1] in states):
+                self.steps[states.get(prefix[:-1], 0), letters[prefix[-1]]] = state
+        self.piece_at = np.full(len(states) + 1, -1, np.int64)
+        self.single = np.full(0x110000, self.size, np.int32)
+        for i, piece in enumerate(self.pieces):
+            self.piece_at[states[piece]] = i
+            if len(piece) == 1:
+                self.single[ord(piece)] = i
 
     def arcs(self, words: list[str]):
-        """(word, begin, end, piece) of all pieces found in the words, sorted by end and word.
+        """(end, word, begin, piece) of all pieces found in the words, sorted by end and word.
 
-        A single character without a piece gets the arc number ``size``.
+        A single character without a piece gets the number ``size``.
         """
-        get, size, found = self.nodes.get, self.size, []
-        for row, word in enumerate(words):
-            n = len(word)
-            for begin in range(n):
-                end = begin + 1
-                piece = get(word[begin:end])
-                found.append((end, row, begin, size if piece is None or piece < 0 else piece))
-                while piece is not None and end < n:
-                    end += 1
-                    piece = get(word[begin:end])
-                    if piece is not None and piece >= 0:
-                        found.append((end, row, begin, piece))
-        found.sort()
-        return np.array(found, np.int64).reshape(-1, 4).T
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        row = np.repeat(np.arange(len(words)), lengths)
+        ends = np.cumsum(lengths)
+        begin = np.arange(len(codes)) - np.repeat(ends - lengths, lengths)
+        columns, left = self.columns[codes], lengths[row] - begin
+        found = [(begin + 1, row, begin, self.single[codes].astype(np.int64))]
+        at, state, span = np.arange(len(codes)), self.steps[0, columns], 1
+        while True:
+            go = (state > 0) & (left[at] > span)
+            at, state = at[go], state[go]
+            if not len(at):
+                break
+            state = self.steps[state, columns[at + span]]
+            span += 1
+            piece = self.piece_at[state]
+            hit = np.flatnonzero(piece >= 0)
+            own = at[hit]
+            found.append((begin[own] + span, row[own], begin[own], piece[hit]))
+        arcs = [np.concatenate(parts) for parts in zip(*found)]
+        order = np.argsort(arcs[0] * len(words) + arcs[1], kind="stable")
+        return [a[order] for a in arcs]
 
 
 def _log_sums(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -211,29 +236,29 @@ def train(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
 
 
 class Scorer:
-    """Scores texts piece by piece between white space; each is scored once and kept."""
+    """Scores texts word by word; each word is scored once and kept."""
 
     def __init__(self, model: Model):
         self.model, self.kept = model, {}
         self.scores = np.zeros((0, len(model.languages) + 1))  # last column: words
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[bytes]) -> None:
         if len(self.kept) + len(pieces) > KEPT:
             self.kept, self.scores = {}, self.scores[:0]
-        found = [_WORDS.findall(p.lower()) for p in pieces]
+        found = [[w] if (w := p.decode()).isalpha() else _WORDS.findall(w) for p in pieces]
         words = sorted(set(chain.from_iterable(found)))
         rows = {w: i for i, w in enumerate(words)}
         known = word_scores(lattice(self.model.path), self.model.logp, [SPACE + w for w in words])
         known = np.c_[known, np.ones(len(words))]
-        added = np.zeros((len(pieces), known.shape[1]))
         owner = np.repeat(np.arange(len(pieces)), [len(f) for f in found])
-        np.add.at(added, owner, known[[rows[w] for w in chain.from_iterable(found)]])
+        used = known[[rows[w] for w in chain.from_iterable(found)]]
+        added = np.stack([np.bincount(owner, used[:, c], len(pieces)) for c in range(known.shape[1])], axis=1)
         start = len(self.kept)
         self.kept.update(zip(pieces, range(start, start + len(pieces))))
         self.scores = np.concatenate([self.scores, added])
 
     def predict(self, texts: list[str]) -> pd.DataFrame:
-        cut = [t.split() for t in texts]
+        cut = [t.lower().encode().translate(_APART).split() for t in texts]
         flat = list(chain.from_iterable(cut))
         if new := set(flat) - self.kept.keys():
             if len(self.kept) + len(new) > KEPT:

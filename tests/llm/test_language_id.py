@@ -19,10 +19,11 @@ def enumerate_cuts(lattice, logp, word):
         return [(0.0, [])]
     out = []
     for end in range(1, len(word) + 1):
-        piece = lattice.nodes.get(word[:end])
-        if piece is None or piece < 0:
-            if end > 1:
-                continue
+        if word[:end] in lattice.pieces:
+            piece = lattice.pieces.index(word[:end])
+        elif end > 1:
+            continue
+        else:
             piece = lattice.size
         out += [(logp[piece] + value, [piece, *rest]) for value, rest in enumerate_cuts(lattice, logp, word[end:])]
     return out
