@@ -1,14 +1,17 @@
 """Cross-entropy difference of a target and a background n-gram model.
 
-Both models are bigram models over one vocabulary of word classes (a word's class is a
-hash of it) with Dirichlet smoothing towards their unigrams. The background model counts all
-documents, the target model those named as target, and background counts are scaled to the
-target's number of words, so that smoothing weighs alike in both. A document's score is its
-loss per word under the target model less that under the background model: the lower, the
-more it is like the target. A document's own words are taken out of the counts first.
-
-Counts are kept in tables of fixed size, so a model's size does not depend on the corpus,
-while every word of every document is counted.
+Both models are bigram models over one vocabulary with Dirichlet smoothing towards their
+unigrams. The background model counts all documents, the target model those named as target,
+and background counts are scaled to the target's number of words, so that smoothing weighs
+alike in both. A document's score is its loss per word under the target model less that under
+the background model: the lower, the more it is like the target. A document's own words are
+taken out of the counts first.
+
+Words and pairs are counted each for itself, by 63 bits of their hash and one that tells them
+apart. Documents lie in blocks of bounded size. A block sends its counts, sorted and packed by
+range of the hash; a range's sums over all blocks go back to the blocks that hold the n-gram,
+if more than one does. So what is counted grows with the corpus, and no task holds more than a
+block or a range.
 
 Cases: a null or empty text has no words and null losses; repeated rows are counted and scored
 each; a null id is never a target; without target documents the target model is uniform and
@@ -18,71 +21,122 @@ the score tells nothing; texts of any length are scored whole; other columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from etlkit.llm.common import pick, slices
-from etlkit.llm.shingles import mix, word_hashes
+from etlkit.llm.shingles import mix, word_hashes, words as words_of
+from etlkit.operators.reuse import measured, observed, staged
 from etlkit.operators.sizing import broadcast_if_small
 
-# Word classes and cells of the bigram table, as powers of two.
+# Words that the unigram's smoothing takes as unseen, as a power of two; both models share it.
 CLASS_BITS = 18
-CELL_BITS = 21
 # Weight of the unigram estimate, in observations of the preceding word.
 PRIOR = 4.0
+# Text of a block of documents, and text per range of n-grams, in bytes.
+BLOCK_BYTES = 8 << 20
 
-_CLASSES, _CELLS = 1 << CLASS_BITS, 1 << CELL_BITS
+_CLASSES = 1 << CLASS_BITS
 _SCORES = "doc_id long, n_words long, target_loss double, background_loss double"
+_PACKED = "block long, part long, grams binary, n binary, target binary"
 
 
 def classes_and_cells(words: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(class of each word, cell of each word with the one before, whether a text begins there)."""
+    """(each word, each word with the one before, whether a text begins there), as hashes."""
     begins = np.zeros(len(words), bool)
     begins[borders[:-1][np.diff(borders) > 0]] = True
-    classes = (mix(words) >> np.uint64(64 - CLASS_BITS)).astype(np.int64)
     pairs = mix(np.r_[np.zeros(min(1, len(words)), np.uint64), words[:-1]] * np.uint64(0x9E3779B97F4A7C15) + words)
-    return classes, (pairs >> np.uint64(64 - CELL_BITS)).astype(np.int64), begins
+    classes, cells = mix(words) & ~np.uint64(1), pairs | np.uint64(1)
+    return classes.view(np.int64), cells.view(np.int64), begins
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of this task, for all documents and for target documents; classes, then cells."""
-    totals = np.zeros((2, _CLASSES + _CELLS), np.int64)
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their number of words and a block of about BLOCK_BYTES of text, one row at least."""
+    block, held = TaskContext.get().partitionId() << 32, 0
     for batch in slices(batches, "text"):
-        words, borders = word_hashes(batch["text"].to_pylist())
-        classes, cells, begins = classes_and_cells(words, borders)
-        target = np.repeat(batch["target"].to_numpy(zero_copy_only=False).astype(bool), np.diff(borders))
-        places = np.r_[classes, cells[~begins] + _CLASSES]
-        chosen = np.r_[target, target[~begins]]
-        totals[0] += np.bincount(places, minlength=_CLASSES + _CELLS)
-        totals[1] += np.bincount(places[chosen], minlength=_CLASSES + _CELLS)
-    seen = np.flatnonzero(totals[0])
-    for start in range(0, len(seen), 100_000):
-        part = seen[start:start + 100_000]
-        yield pa.record_batch({"place": part, "n": totals[0, part], "target": totals[1, part]})
-
-
-@dataclass
-class Model:
-    """Counts of classes and cells, how many words they are of, and what a count weighs."""
-
-    classes: np.ndarray
-    cells: np.ndarray
-    words: int
-    scale: float
-
-    def loss(self, classes: np.ndarray, cells: np.ndarray, own_classes: np.ndarray, own_cells: np.ndarray) -> float:
-        """Mean negative log-probability of a text's words; ``own_*`` are counts to leave out."""
-        counts = np.maximum(self.classes[classes] - own_classes, 0) * self.scale
-        total = max(self.words - (len(classes) if own_classes.any() else 0), 0) * self.scale
-        single = (counts + 1) / (total + _CLASSES)
-        pairs = np.maximum(self.cells[cells[1:]] - own_cells[1:], 0) * self.scale
-        history = np.maximum(counts[:-1], pairs)
-        chance = single.copy()
-        chance[1:] = (pairs + PRIOR * single[1:]) / (history + PRIOR)
-        return float(-np.log(chance).mean())
+        texts = batch["text"].to_pylist()
+        held += sum(len(t) for t in texts if t)
+        yield pa.record_batch({"block": np.full(len(texts), block), "doc_id": batch["doc_id"], "text": batch["text"],
+                               "target": batch["target"], "n_words": np.array([len(words_of(t)) for t in texts], np.int64)})
+        if held >= BLOCK_BYTES:
+            block, held = block + 1, 0
+
+
+def _grams(texts: list[str | None], target: np.ndarray) -> tuple:
+    """(classes, cells, borders of the texts, distinct n-grams, their counts, their target counts)."""
+    parts, lengths = [], [0]
+    for start in range(0, len(texts), 1000):
+        flat, borders = word_hashes(texts[start:start + 1000])
+        parts.append(flat)
+        lengths.extend(np.diff(borders).tolist())
+    borders = np.cumsum(lengths)
+    classes, cells, begins = classes_and_cells(np.concatenate(parts), borders)
+    chosen = np.repeat(target, np.diff(borders))
+    grams = np.r_[classes, cells[~begins]].view(np.uint64)
+    names, n, of_target = _summed(grams, np.ones(len(grams), np.int64), np.r_[chosen, chosen[~begins]].astype(np.int64))
+    return classes, cells, borders, names, n, of_target
+
+
+def _summed(grams: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct n-grams, sorted, and the sums of their counts."""
+    if not len(grams):
+        return grams, *counts
+    order = np.argsort(grams, kind="stable")
+    grams = grams[order]
+    first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+    return grams[first], *(np.add.reduceat(c[order], first) for c in counts)
+
+
+def _count(parts: int):
+    """A block's counts, one row per range of n-grams."""
+    borders = np.array([(p << 64) // parts for p in range(1, parts)], np.uint64)
+
+    def run(table: pa.Table) -> pa.Table:
+        target = table["target"].to_numpy().astype(bool)
+        _, _, _, grams, n, of_target = _grams(table["text"].to_pylist(), target)
+        cuts = [0, *np.searchsorted(grams, borders).tolist(), len(grams)]
+        rows = [(p, b, e) for p, (b, e) in enumerate(zip(cuts[:-1], cuts[1:])) if b < e]
+        return _pack([(table["block"][0].as_py(), p, grams[b:e], n[b:e], of_target[b:e]) for p, b, e in rows])
+
+    return run
+
+
+def _pack(rows: list[tuple]) -> pa.Table:
+    blobs = {name: pa.array([r[i].tobytes() for r in rows], pa.binary()) for i, name in ((2, "grams"), (3, "n"), (4, "target"))}
+    return pa.table({"block": pa.array([r[0] for r in rows], pa.int64()), "part": pa.array([r[1] for r in rows], pa.int64()), **blobs})
+
+
+def _unpack(table: pa.Table) -> list[list[np.ndarray]]:
+    """(n-grams, counts, target counts) of each row."""
+    return [[np.frombuffer(blob, kind) for blob, kind in zip(row, (np.uint64, np.int64, np.int64))]
+            for row in zip(*(table[c].to_pylist() for c in ("grams", "n", "target")))]
+
+
+def _sum(table: pa.Table) -> pa.Table:
+    """For each block, the sums of the range's n-grams that it shares with another block."""
+    blocks, packed = table["block"].to_pylist(), _unpack(table)
+    grams, n, target, held = _summed(np.concatenate([g for g, _, _ in packed]), *(np.concatenate(c) for c in list(zip(*packed))[1:]),
+                                     np.ones(sum(len(g) for g, _, _ in packed), np.int64))
+    rows = []
+    for block, (own, _, _) in zip(blocks, packed):
+        at = np.searchsorted(grams, own)
+        at = at[held[at] > 1]
+        if len(at):
+            rows.append((block, table["part"][0].as_py(), grams[at], n[at], target[at]))
+    return _pack(rows)
+
+
+def _loss(singles: np.ndarray, pairs: np.ndarray, words: int, scale: float) -> float:
+    """Mean negative log-probability of a text's words, by counts of each word and pair in the
+    model, the text's own left out, and how many words those are of."""
+    counts, pairs = np.maximum(singles, 0) * scale, np.maximum(pairs, 0) * scale
+    chance = (counts + 1) / (max(words, 0) * scale + _CLASSES)
+    history = np.maximum(counts[:-1], pairs)
+    chance[1:] = (pairs + PRIOR * chance[1:]) / (history + PRIOR)
+    return float(-np.log(chance).mean())
 
 
 def _own(values: np.ndarray) -> np.ndarray:
@@ -91,50 +145,54 @@ def _own(values: np.ndarray) -> np.ndarray:
     return counts[at]
 
 
-def _score(target: Model, background: Model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            words, borders = word_hashes(batch["text"].to_pylist())
-            classes, cells, _ = classes_and_cells(words, borders)
-            losses = []
-            for begin, end, chosen in zip(borders[:-1], borders[1:], batch["target"].to_pylist()):
-                if begin == end:
-                    losses.append((None, None))
-                    continue
-                c, p = classes[begin:end], cells[begin:end]
-                own_c, own_p = _own(c), np.r_[0, _own(p[1:])]
-                none = np.zeros(len(c), np.int64)
-                losses.append((target.loss(c, p, *((own_c, own_p) if chosen else (none, none))),
-                               background.loss(c, p, own_c, own_p)))
-            yield pa.record_batch({
-                "doc_id": batch["doc_id"], "n_words": np.diff(borders),
-                "target_loss": pa.array([t for t, _ in losses], pa.float64()),
-                "background_loss": pa.array([b for _, b in losses], pa.float64())})
+def _score(everything: int, chosen: int):
+    """Scores of a block's rows, with the sums of n-grams that other blocks hold as well."""
+    scale = chosen / everything if everything else 1.0
+
+    def run(table: pa.Table, sums: pa.Table) -> pa.Table:
+        targets = table["target"].to_numpy().astype(bool)
+        classes, cells, borders, grams, n, of_target = _grams(table["text"].to_pylist(), targets)
+        for names, total, total_target in _unpack(sums):
+            at = np.searchsorted(grams, names)
+            n[at], of_target[at] = total, total_target
+        # A pair across two texts is in no count, and in no text either.
+        last = max(0, len(grams) - 1)
+        single, pair = (np.minimum(np.searchsorted(grams, v.view(np.uint64)), last) for v in (classes, cells))
+        losses = []
+        for begin, end, own in zip(borders[:-1].tolist(), borders[1:].tolist(), targets.tolist()):
+            if begin == end:
+                losses.append((None, None))
+                continue
+            c, p = single[begin:end], pair[begin + 1:end]
+            own_c, own_p = _own(c), _own(p)
+            left = (1, end - begin) if own else (0, 0)
+            losses.append((_loss(of_target[c] - left[0] * own_c, of_target[p] - left[0] * own_p, chosen - left[1], 1.0),
+                           _loss(n[c] - own_c, n[p] - own_p, everything - (end - begin), scale)))
+        return pa.table({
+            "doc_id": table["doc_id"].cast(pa.int64()), "n_words": pa.array(np.diff(borders), pa.int64()),
+            "target_loss": pa.array([t for t, _ in losses], pa.float64()),
+            "background_loss": pa.array([b for _, b in losses], pa.float64())})
 
     return run
 
 
-def models(rows: DataFrame) -> tuple[Model, Model]:
-    """(target, background) model of rows ``text, target``. Runs a job over all of them.
-
-    A task sends one count per class and cell at most; what comes to the driver are as many
-    sums as the tables hold (2 ** 21 + 2 ** 18).
-    """
-    counted = rows.select("text", "target").mapInArrow(_count, "place long, n long, target long")
-    sums = counted.groupBy("place").agg(F.sum("n").alias("n"), F.sum("target").alias("target")).toArrow()
-    totals = np.zeros((2, _CLASSES + _CELLS), np.int64)
-    for i, column in enumerate(("n", "target")):
-        totals[i, sums["place"].to_numpy()] = sums[column].to_numpy()
-    everything, chosen = int(totals[0, :_CLASSES].sum()), int(totals[1, :_CLASSES].sum())
-
-    def model(row: int, words: int, scale: float) -> Model:
-        return Model(totals[row, :_CLASSES].astype(float), totals[row, _CLASSES:].astype(float), words, scale)
-
-    return model(1, chosen, 1.0), model(0, everything, chosen / everything if everything else 1.0)
+def scored(rows: DataFrame) -> DataFrame:
+    """Losses of rows ``doc_id, text, target``. Runs jobs that stage and count them."""
+    blocks, sizes = observed(
+        rows.mapInArrow(_blocks, "block long, doc_id long, text string, target boolean, n_words long"), "lm-rows",
+        F.sum(F.octet_length("text")).alias("bytes"), F.sum("n_words").alias("words"),
+        F.sum(F.when(F.col("target"), F.col("n_words"))).alias("target"))
+    blocks = staged(blocks, "lm-rows")
+    sizes = measured(sizes)
+    parts = (sizes.get("bytes") or 0) // BLOCK_BYTES + 1
+    by_block = blocks.groupBy("block")
+    sums = by_block.applyInArrow(_count(parts), _PACKED).groupBy("part").applyInArrow(_sum, _PACKED)
+    return by_block.cogroup(sums.groupBy("block")).applyInArrow(
+        _score(sizes.get("words") or 0, sizes.get("target") or 0), _SCORES)
 
 
 def difference_scores(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_words, target_loss, background_loss, score`` of every row.
+    """``doc_id, n_words, target_loss, background_loss, score`` of every row. Runs jobs.
 
     ``targets`` holds the ids (``doc_id``) of target documents; it is broadcast only if it
     measures small.
@@ -143,5 +201,5 @@ def difference_scores(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.join(broadcast_if_small(ids), F.col("doc_id") == F.col("named"), "left").select(
         "doc_id", "text", F.col("named").isNotNull().alias("target"))
-    return rows.mapInArrow(_score(*models(rows)), _SCORES).withColumn(
+    return scored(rows).withColumn(
         "score", F.col("target_loss") - F.col("background_loss"))

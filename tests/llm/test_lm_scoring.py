@@ -76,3 +76,31 @@ def test_cases(spark):
     same(lm.difference_scores(docs, targets).collect(), brute(rows, {1}))
     same(lm.difference_scores(docs, targets.limit(0)).collect(), brute(rows, set()))
     assert lm.difference_scores(docs.limit(0), targets).collect() == []
+
+
+def test_counts_are_those_of_real_words_and_pairs(spark, monkeypatch):
+    """A word in every text, next to more others than any table of fixed size would keep apart."""
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 1 << 16, raising=False)
+    rows = [(i, " ".join(f"the w{i}x{k}" for k in range(400))) for i in range(2500)]
+    rows += [(-1, rows[0][1]), (-2, "the unseen")]
+    uni, bi = Counter(), Counter()
+    for _, text in rows:
+        words = text.split()
+        uni.update(words)
+        bi.update(zip(words, words[1:]))
+    found = {r["doc_id"]: r for r in lm.difference_scores(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(8),
+        spark.createDataFrame([(i,) for i in range(-2, 2500)], "doc_id long")).collect()}
+    for i, text in (rows[0], rows[7], rows[1234], rows[-1], rows[-2]):
+        words = text.split()
+        own_u, own_b = Counter(words), Counter(zip(words, words[1:]))
+        total, loss = sum(uni.values()) - len(words), 0.0
+        for k, w in enumerate(words):
+            p = (uni[w] - own_u[w] + 1) / (total + 2**lm.CLASS_BITS)
+            if k:
+                pair = (words[k - 1], w)
+                seen = bi[pair] - own_b[pair]
+                p = (seen + lm.PRIOR * p) / (max(uni[words[k - 1]] - own_u[words[k - 1]], seen) + lm.PRIOR)
+            loss -= math.log(p)
+        assert found[i]["background_loss"] == pytest.approx(loss / len(words), rel=1e-9)
+        assert found[i]["target_loss"] == pytest.approx(loss / len(words), rel=1e-9)
