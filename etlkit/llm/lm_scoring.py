@@ -104,15 +104,27 @@ def _count(parts: int):
     return run
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit values by byte, all lowest bytes first: what is small compresses."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _values(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.uint64).reshape(-1)
+
+
 def _pack(rows: list[tuple]) -> pa.Table:
-    blobs = {name: pa.array([r[i].tobytes() for r in rows], pa.binary()) for i, name in ((2, "grams"), (3, "n"), (4, "target"))}
-    return pa.table({"block": pa.array([r[0] for r in rows], pa.int64()), "part": pa.array([r[1] for r in rows], pa.int64()), **blobs})
+    """Rows ``block, part`` with sorted n-grams, as differences, and their counts."""
+    grams = [_planes(np.diff(r[2], prepend=np.uint64(0))) for r in rows]
+    n, target = ([_planes(r[i]) for r in rows] for i in (3, 4))
+    return pa.table({"block": pa.array([r[0] for r in rows], pa.int64()), "part": pa.array([r[1] for r in rows], pa.int64()),
+                     "grams": pa.array(grams, pa.binary()), "n": pa.array(n, pa.binary()), "target": pa.array(target, pa.binary())})
 
 
-def _unpack(table: pa.Table) -> list[list[np.ndarray]]:
+def _unpack(table: pa.Table) -> list[tuple[np.ndarray, ...]]:
     """(n-grams, counts, target counts) of each row."""
-    return [[np.frombuffer(blob, kind) for blob, kind in zip(row, (np.uint64, np.int64, np.int64))]
-            for row in zip(*(table[c].to_pylist() for c in ("grams", "n", "target")))]
+    return [(np.cumsum(_values(grams), dtype=np.uint64), _values(n).view(np.int64), _values(target).view(np.int64))
+            for grams, n, target in zip(*(table[c].to_pylist() for c in ("grams", "n", "target")))]
 
 
 def _sum(table: pa.Table) -> pa.Table:
