@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from etlkit.llm import decontamination, language_id, lm_scoring, mixing, near_duplicates, passages, token_counts, token_files, top_products, web_archives
+from etlkit.llm import (
+    decontamination, language_id, lm_scoring, mixing, near_duplicates, passages, quality_rules, token_counts, token_files,
+    top_products, web_archives,
+)
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 from etlkit.workspace import new_path
 
@@ -127,3 +130,9 @@ def score_by_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents labelled as good are the target."""
     good = table(spark, sf_dir, "labels").filter("quality = 1")
     return lm_scoring.difference_scores(table(spark, sf_dir, "documents"), good)
+
+
+@query("op13_quality_rules")
+def judge_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", *quality_rules.COUNTS, "base_failed", "kept")
