@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from etlkit.llm import (
-    decontamination, language_id, lm_scoring, mixing, near_duplicates, passages, quality_rules, token_counts, token_files,
-    top_products, web_archives,
+    decontamination, language_id, lm_scoring, mixing, near_duplicates, passages, quality_rules, spelling_variants, token_counts,
+    token_files, top_products, web_archives,
 )
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 from etlkit.workspace import new_path
@@ -136,3 +136,9 @@ def score_by_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 def judge_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents")).select(
         "doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
+@query("op11_spelling_variants")
+def group_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_variants.word_counts(table(spark, sf_dir, "documents"), slip_every=199)
+    return spelling_variants.spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
