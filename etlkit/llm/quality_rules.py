@@ -10,7 +10,7 @@ vectors, and vectors beyond the cutoff by Mahalanobis distance are rejected.
 The estimate is found as in deterministic MCD: three starting scatters (robust scales alone,
 spatial signs, hyperbolic tangents), then concentration steps, each of which takes the nearest
 ``SHARE`` of a group's vectors and estimates anew from them; the start with the smallest
-determinant goes on until nothing moves. A step is one aggregation for all groups at once: vectors
+determinant goes on until nothing moves or the determinant falls no more. A step is one aggregation for all groups at once: vectors
 are summed by distance class (a sixteenth of an octave), so a group of any size is a few hundred
 rows after the map side, and the nearest share ends with a class. Vectors are whole multiples of
 1/``UNIT``, so sums are exact and do not depend on the order of tasks.
@@ -48,6 +48,8 @@ UNIT = 1024
 NOISE = 1 / (4 * MIN_WORDS)
 # Steps with all starts; steps at most.
 TRIAL_STEPS, STEPS = 2, 40
+# A step that lowers the log determinant by less is a group's last one.
+LEAST_GAIN = 1e-6
 
 _N = 4
 _PAIRS = list(combinations_with_replacement(range(_N), 2))
@@ -160,7 +162,7 @@ def _starts(group: pa.Table) -> pa.Table:
     width = np.sqrt(np.maximum(np.diag(bent), 1e-6))
     shapes = [np.eye(_N), signs, bent / np.outer(width, width)]
     return _rows(group, [
-        _estimate(start, mid, shape * np.outer(scale, scale), n, 0, "", True)
+        _estimate(start, mid, shape * np.outer(scale, scale), n, 0, "", True) | {"det": math.inf}
         for start, shape in enumerate(shapes)], _ARROW)
 
 
@@ -184,10 +186,10 @@ def _concentrated(group: pa.Table) -> pa.Table:
     counts = np.cumsum(group["rows"].to_numpy())
     upto = int(np.searchsorted(counts, math.ceil(SHARE * int(counts[-1])))) + 1
     taken, mean, scatter, sign = _moments(group, upto)
-    n = int(counts[-1])
-    return _rows(group, [_estimate(
-        group["start"][0].as_py(), mean, scatter * consistency(taken / n), n, taken, sign,
-        sign != group["sign"][0].as_py())], _ARROW)
+    n, before = int(counts[-1]), group["det"][0].as_py()
+    row = _estimate(group["start"][0].as_py(), mean, scatter * consistency(taken / n), n, taken, sign, False)
+    row["moved"] = sign != group["sign"][0].as_py() and row["det"] < before - LEAST_GAIN
+    return _rows(group, [row], _ARROW)
 
 
 def _reweighted(group: pa.Table) -> pa.Table:
@@ -261,9 +263,9 @@ def estimates(vectors: DataFrame) -> DataFrame:
         moving = now.filter("moved")
         if moving.isEmpty():
             break
-        placed = _with(vectors, moving.select(*_GROUP, "start", "mean", "whiten", "sign"), small)
-        summed = _summed(placed.withColumn("class", classes), [*_GROUP, "start", "sign", "class"])
-        moved = summed.groupBy(*_GROUP, "start", "sign").applyInArrow(_concentrated, _schema(_ESTIMATE))
+        placed = _with(vectors, moving.select(*_GROUP, "start", "mean", "whiten", "sign", "det"), small)
+        summed = _summed(placed.withColumn("class", classes), [*_GROUP, "start", "sign", "det", "class"])
+        moved = summed.groupBy(*_GROUP, "start", "sign", "det").applyInArrow(_concentrated, _schema(_ESTIMATE))
         after = now.filter("NOT moved").union(moved)
         if step == TRIAL_STEPS - 1:
             fields = [c for c in now.columns if c not in _GROUP]

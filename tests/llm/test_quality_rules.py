@@ -60,14 +60,16 @@ def brute_estimate(x):
     found = []
     for shape in (np.eye(4), 4 * unit.T @ unit / len(x), bent / np.outer(width, width)):
         mean, scatter, last = mid.astype(float), shape * np.outer(scale, scale) + noise, None
+        det = math.inf
         for step in range(rules.STEPS):
             d = np.einsum("ni,ij,nj->n", x - mean, np.linalg.inv(scatter), x - mean)
             steps = np.array([math.floor(math.log2(v) * 16) if v > 0 else -(1 << 20) for v in d])
             near = steps <= np.sort(steps)[math.ceil(0.75 * len(x)) - 1]
             mean, scatter = x[near].mean(axis=0), np.cov(x[near].T, bias=True) * rules.consistency(near.mean()) + noise
-            if step == 1:
-                tried = np.linalg.slogdet(scatter)[1]
-            if last is not None and (near == last).all():
+            det, before = np.linalg.slogdet(scatter)[1], det
+            if step < 2:
+                tried = det
+            if last is not None and (near == last).all() or det >= before - rules.LEAST_GAIN:
                 break
             last = near
         found.append((round(tried, 9), len(found), mean, scatter))
