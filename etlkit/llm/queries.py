@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from etlkit.llm import (
-    decontamination, language_id, lm_scoring, mixing, near_duplicates, passages, quality_rules, spelling_variants, token_counts,
-    token_files, top_products, web_archives,
+    collocations, decontamination, language_id, lm_scoring, mixing, near_duplicates, passages, quality_rules,
+    spelling_variants, token_counts, token_files, top_products, web_archives,
 )
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 from etlkit.workspace import new_path
@@ -142,3 +142,41 @@ def judge_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def group_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling_variants.word_counts(table(spark, sf_dir, "documents"), slip_every=199)
     return spelling_variants.spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words
+  FROM documents),
+sizes AS (SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang),
+starts AS (
+  SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+  FROM pieces, (VALUES (1), (2), (3), (4)) AS lengths(k)),
+runs AS (
+  SELECT lang, k, words[i:i + k - 1] AS p, count(*) AS a FROM starts GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+  SELECT c.lang, c.k, c.p, c.a, j, f.a AS l, g.a AS r, ((2000000::HUGEINT * c.a) // (f.a + g.a))::BIGINT AS score
+  FROM runs c JOIN (VALUES (1), (2), (3)) AS places(j) ON j < c.k
+  JOIN runs f ON f.lang = c.lang AND f.p = c.p[1:j]
+  JOIN runs g ON g.lang = c.lang AND g.p = c.p[j + 1:c.k]),
+scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+inner_parts AS (
+  SELECT lang, p[i:i + m - 1] AS p, a
+  FROM (SELECT lang, p, a, m, unnest(range(1, k - m + 2)) AS i
+        FROM scored JOIN (VALUES (2), (3)) AS parts(m) ON m < k)),
+longer AS (SELECT lang, p, max(a) AS a FROM inner_parts GROUP BY ALL),
+ranked AS (
+  SELECT s.*, array_to_string(s.p, ' ') AS phrase
+  FROM scored s LEFT JOIN longer o ON o.lang = s.lang AND o.p = s.p
+  WHERE o.a IS NULL OR 100 * o.a < 80 * s.a)
+SELECT r.lang, row_number() OVER (PARTITION BY r.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM ranked r JOIN sizes USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query("op12_collocations", COLLOCATIONS_SQL)
+def mine_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
