@@ -40,14 +40,14 @@ PART_PERCENT = 80
 SCALE = 2_000_000
 MOST_WORDS = 4
 UNDETERMINED = "und"
-# A block ends after so much text, or when its words need more than two bytes.
-BLOCK_BYTES, BLOCK_WORDS = 8 << 20, (1 << 16) - 1
+# A block ends after so much text.
+BLOCK_BYTES = 8 << 20
 # A block's filters differ in so many bits, and two to their power of blocks are merged at once.
 FAN_BITS = 8
 
 _BREAK = b"."
 _PIECES = bytes(46 if b in b".,;:!?\n\v\f\r" else LOWER[b] for b in range(256))
-_BLOCK = "block long, words array<struct<lang: string, word: string, n: long>>, width int, numbers binary"
+_BLOCK = "block long, words array<struct<lang: string, word: string, n: long>>, numbers binary"
 _FILTER = "prefix long, block long, entries long, runs binary, remainders binary, counters binary"
 _FILTER_SCHEMA = pa.schema([
     ("prefix", pa.int64()), ("block", pa.int64()), ("entries", pa.int64()), ("runs", pa.binary()),
@@ -81,20 +81,23 @@ class _Block:
             self.parts.append(np.fromiter(map(number.__getitem__, tokens), np.uint32, len(tokens)))
         self.bytes += len(data)
 
-    @property
-    def full(self) -> bool:
-        return self.bytes > BLOCK_BYTES or len(self.found) > BLOCK_WORDS // 2
-
     def row(self, block: int) -> pa.RecordBatch:
         numbers = np.concatenate(self.parts)
-        width = 2 if len(self.found) <= BLOCK_WORDS else 4
         times = np.bincount(numbers, minlength=len(self.found) + 1)[1:].tolist()
         words = [{"lang": lang, "word": w.decode(), "n": n} for (lang, w), n in zip(self.found, times)]
         kind = pa.list_(pa.struct([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
         return pa.record_batch({
             "block": pa.array([block], pa.int64()), "words": pa.array([words], kind),
-            "width": pa.array([width], pa.int32()),
-            "numbers": pa.array([numbers.astype(f"<u{width}").tobytes()], pa.binary())})
+            "numbers": pa.array([_planes(numbers)], pa.binary())})
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """All lowest bytes, then the next ones: numbers are small, so files and shuffles shrink the rest."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
 
 
 def blocks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -105,7 +108,7 @@ def blocks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
         for part in slices(batches, "text"):
             for lang, text in zip(part["lang"].to_pylist(), part["text"].to_pylist()):
                 now.add(UNDETERMINED if lang is None else lang, text or "")
-                if now.full:
+                if now.bytes > BLOCK_BYTES:
                     if now.parts:
                         yield now.row(block)
                     now, block = _Block(), block + 1
@@ -168,7 +171,7 @@ def _counted(bits: int, taken: int):
         if not block.num_rows:
             return _FILTER_SCHEMA.empty_table()
         row = block.to_pylist()[0]
-        numbers = np.frombuffer(row["numbers"], f"<u{row['width']}")
+        numbers = _numbers(row["numbers"])
         ids = np.zeros(int(numbers.max(initial=0)) + 1, np.uint64)
         ids[found["number"].to_numpy()] = found["id"].to_numpy().astype(np.uint64)
         entries = block_entries(ids[numbers], bits)
@@ -209,7 +212,7 @@ def frequent_runs(texts: DataFrame, ids: DataFrame, n_ids: int, least: int = LEA
     the number of merges grows with the logarithm, to the base 2 ** ``fan_bits``, of the number of blocks.
     """
     bits = max(16, n_ids.bit_length())
-    rows = texts.select("block", "width", "numbers").groupBy("block").cogroup(ids.groupBy("of")).applyInArrow(
+    rows = texts.select("block", "numbers").groupBy("block").cogroup(ids.groupBy("of")).applyInArrow(
         _counted(bits, fan_bits), _FILTER)
     many, used = texts.count(), fan_bits
     while many > 1 << fan_bits:

@@ -92,35 +92,50 @@ def _from_bytes(data: bytes, width: int, n: int) -> np.ndarray:
     return out.view("<u8").reshape(-1).astype(np.uint64)
 
 
-def _widths(n: int, bits: int, used: int) -> tuple[int, int, int]:
-    """(bits of the quotient, of the left remainder; bytes of the left remainder)."""
+def _widths(n: int, bits: int, used: int) -> tuple[int, int]:
+    """Bits of the quotient and of the left half's remainder."""
     width = 2 * bits - used
     quotient = min(width, max(0, n.bit_length() - 1))
-    return quotient, width - quotient, (width - quotient + 7) // 8
+    return quotient, width - quotient
+
+
+def _put_remainders(left: np.ndarray, right: np.ndarray, rest: int, width: int) -> bytes:
+    """Both halves' remainders, of ``rest`` and ``width`` bits, as one number each if 64 bits hold it."""
+    if rest + width <= 64 and width < 64:
+        return _to_bytes(left << np.uint64(width) | right, (rest + width + 7) // 8)
+    return _to_bytes(left, (rest + 7) // 8) + _to_bytes(right, (width + 7) // 8)
+
+
+def _get_remainders(data: bytes, n: int, rest: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    if rest + width <= 64 and width < 64:
+        both = _from_bytes(data, (rest + width + 7) // 8, n)
+        return both >> np.uint64(width), both & _mask(width)
+    size = (rest + 7) // 8
+    return _from_bytes(data, size, n), _from_bytes(data[n * size:], (width + 7) // 8, n)
 
 
 def packed(entries: Entries, bits: int, used: int) -> dict:
     """One filter: sorted distinct entries that share their first ``used`` bits."""
     n = len(entries.left)
-    quotient, rest, width = _widths(n, bits, used)
+    quotient, rest = _widths(n, bits, used)
     low = entries.left & _mask(2 * bits - used)
     runs = np.zeros(n + (1 << quotient), bool)
     runs[(low >> np.uint64(rest)).astype(np.int64) + np.arange(n)] = True
     short = np.minimum(entries.counts - 1, 255).astype(np.uint8)
     return {
         "entries": n, "runs": np.packbits(runs).tobytes(),
-        "remainders": _to_bytes(low & _mask(rest), width) + _to_bytes(entries.right, (2 * bits + 7) // 8),
+        "remainders": _put_remainders(low & _mask(rest), entries.right, rest, 2 * bits),
         "counters": short.tobytes() + entries.counts[short == 255].astype("<u8").tobytes()}
 
 
 def unpacked(row: dict, prefix: int, bits: int, used: int) -> Entries:
     """What ``packed`` was given; ``prefix`` is the value of the first ``used`` bits."""
     n = row["entries"]
-    quotient, rest, width = _widths(n, bits, used)
+    _, rest = _widths(n, bits, used)
     runs = np.unpackbits(np.frombuffer(row["runs"], np.uint8))
     quotients = (np.flatnonzero(runs) - np.arange(n)).astype(np.uint64)
-    low = quotients << np.uint64(rest) | _from_bytes(row["remainders"], width, n)
-    right = _from_bytes(row["remainders"][n * width:], (2 * bits + 7) // 8, n)
+    left, right = _get_remainders(row["remainders"], n, rest, 2 * bits)
+    low = quotients << np.uint64(rest) | left
     counts = np.frombuffer(row["counters"], np.uint8, n).astype(np.int64) + 1
     counts[counts == 256] = np.frombuffer(row["counters"], "<u8", offset=n)
     return Entries(low | np.uint64(prefix << (2 * bits - used)), right, counts)
