@@ -118,14 +118,26 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+# Else Spark makes numbers or dates of text, and "01" would be written back as 1.
+_TEXT_PARTITIONS = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """A partitioned folder with its partition columns as the text of the folders' names."""
+    with options(spark, _TEXT_PARTITIONS):
+        return spark.read.parquet(path)
+
+
 def compact_partition(
     spark: SparkSession, path: str, partition_by: str, value: Any, target_bytes: int = TARGET_FILE_BYTES
 ) -> None:
     """Rewrite one partition of a folder as files near ``target_bytes``; the others stay.
 
-    The rows are staged in their new files' layout, then replace the partition.
+    The rows are staged in their new files' layout, then replace the partition. Its value is
+    compared as text, which is what the folder's name holds. A run that dies while it replaces
+    the partition leaves it in part; ``sources.layered`` has a table that does not.
     """
-    rows = spark.read.parquet(path).filter(F.col(partition_by).eqNullSafe(F.lit(value)))
+    rows = _stored(spark, path).filter(F.col(partition_by).eqNullSafe(F.lit(value).cast("string")))
     files = max(1, math.ceil(stored_bytes(rows) / target_bytes))
     kept = staged(rows.coalesce(files), "compact")
     (kept.coalesce(files).write.mode("overwrite").partitionBy(partition_by)
@@ -147,9 +159,15 @@ def merge_into_partitions(
     Touched are the partitions that changed rows go to and those where changed keys are
     stored, so a key may move. The latter are found by a semi join over the stored keys.
     The new content is staged before it replaces the old, and the folders of partitions
-    left without rows are removed, one call per folder.
+    left without rows are removed, one call per folder. Partition values have the type that
+    ``changes`` gives them; empty text is a null, as in the folders. A run that dies while it
+    replaces partitions leaves them in part; ``sources.layered`` has a table that does not.
     """
-    stored = spark.read.parquet(path)
+    kind = changes.schema[partition_by].dataType
+    if isinstance(kind, T.StringType):
+        changes = changes.withColumn(partition_by, F.nullif(F.col(partition_by), F.lit("")))
+    stored = _stored(spark, path)
+    stored = stored.withColumn(partition_by, stored[partition_by].cast(kind))
     held = stored.select(*keys, partition_by).join(changes.select(*keys).distinct(), list(keys), "left_semi")
     touched = staged(
         held.select(F.col(partition_by).alias("__touched"))

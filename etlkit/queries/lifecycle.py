@@ -13,6 +13,7 @@ from etlkit.plans.run_log import SCHEMA, changed_strategies, record_run
 from etlkit.queries.joins import flagship_revenue
 from etlkit.queries.registry import query, table
 from etlkit.queries.storage import store
+from etlkit.sources.layered import LayeredTable
 from etlkit.workspace import new_path
 
 LOADED = "2024-01-15 08:30:00"
@@ -115,6 +116,40 @@ def merge_partitions(spark, sf):
     return spark.read.parquet(path).select(*customers.columns)
 
 
+@query("layered_merge", CHANGES_SQL)
+def layered_merge(spark, sf):
+    """The same changes to a table in layers: two loads, one of them written twice, folded in two steps."""
+    customers, path = table(spark, sf, "customer"), new_path(spark, "layered-customers")
+    log = LayeredTable(spark, path, customers.schema, ["c_custkey"], "c_mktsegment", "op")
+    changes = customer_changes(customers)
+    log.write_delta(customers.withColumn("op", F.lit(None).cast("string")), 0)
+    for _ in range(2):
+        log.write_delta(changes, 1, ["changed_at"])
+    log.compact()
+    log.compact(newest=True)
+    log.vacuum()
+    return log.read()
+
+
+@query("layered_partitions", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN '12' ELSE strftime(o_orderdate, '%m') END AS month,
+       CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+FROM orders WHERE o_orderstatus <> 'P'""")
+def layered_partitions(spark, sf):
+    """Orders by month, as text such as 01; filled ones change and move to December, pending ones go.
+    Then one month's files are put together, and a load stays that is not folded yet."""
+    orders, path = table(spark, sf, "orders"), new_path(spark, "layered-orders")
+    rows = orders.select("o_orderkey", F.date_format("o_orderdate", "MM").alias("month"), "o_totalprice", F.lit(None).cast("string").alias("op"))
+    log = LayeredTable(spark, path, rows.drop("op").schema, ["o_orderkey"], "month", "op")
+    log.merge(rows)
+    status = orders.select("o_orderkey", "o_orderstatus", (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    log.merge(status.filter("o_orderstatus = 'F'").withColumns({"month": F.lit("12"), "op": F.lit("U")}))
+    log.rewrite_partition("12")
+    log.write_delta(status.filter("o_orderstatus = 'P'").withColumns({"month": F.lit("01"), "op": F.lit("D")}), 2)
+    log.vacuum()
+    return log.read()
+
+
 @query("partition_overwrite", """
 SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH')
        THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from etlkit.operators.reuse import staged
 from etlkit.session import options
-from etlkit.workspace import file_system
+from etlkit.sources.layered import BATCH, LayeredTable
 
-BATCH = "batch_id"
+# Seconds that the reports of an ended run may still take to arrive.
+REPORT_SECONDS = 120
 FILES_PER_BATCH = 1000
 
 
@@ -80,28 +82,65 @@ def write_batches(
     trigger: dict[str, Any] | None = None,
     late: str = "fail",
 ) -> StreamingQuery:
-    """Write each micro-batch to its own partition ``batch_id=N``, replacing it on replay.
+    """Write each micro-batch under its own number, so that a replay replaces it: in ``update``
+    mode as the loads of a ``LayeredTable``, which ``latest_rows`` reads.
 
     In ``complete`` mode each batch holds the whole result, so it replaces everything.
     A run that ends having dropped rows behind its watermark raises, unless ``late`` is ``drop``.
+    Dropped rows are counted from every batch's report as it comes.
     """
+    spark = df.sparkSession
 
     def save(batch: DataFrame, batch_id: int) -> None:
         if output_mode == "complete":
             batch.withColumn(BATCH, F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(path)
         else:
-            batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-
-    query = for_each_batch(df, save, checkpoint, output_mode, trigger)
-    if late == "fail" and not query.isActive and (lost := dropped_rows(query)):
-        raise ValueError(f"{lost} rows came later than the watermark allows")
+            LayeredTable(batch.sparkSession, path, batch.schema, ()).write_delta(batch, batch_id)
+
+    reports = DroppedRows()
+    spark.streams.addListener(reports)
+    try:
+        query = for_each_batch(df, save, checkpoint, output_mode, trigger)
+        if late == "fail" and not query.isActive and (lost := reports.of(query)):
+            raise ValueError(f"{lost} rows or partial aggregates came later than the watermark allows")
+    finally:
+        spark.streams.removeListener(reports)
     return query
 
 
-def dropped_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark, over the progress reports that Spark keeps
-    (``spark.sql.streaming.numRecentProgressUpdates``)."""
-    return sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
+class DroppedRows(StreamingQueryListener):
+    """Rows dropped behind watermarks, summed per run over the reports of all its batches.
+
+    Spark itself keeps only the last reports. An aggregation that combines before its shuffle
+    drops, and counts, what it has combined.
+    """
+
+    def __init__(self):
+        self._dropped: dict[str, int] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def _end(self, run: str) -> threading.Event:
+        return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self._end(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        run, states = str(event.progress.runId), event.progress.stateOperators
+        self._dropped[run] = self._dropped.get(run, 0) + sum(s.numRowsDroppedByWatermark for s in states)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def of(self, query: StreamingQuery) -> int:
+        """The count of an ended run; its end is the last thing reported."""
+        run = str(query.runId)
+        if not self._end(run).wait(REPORT_SECONDS):
+            raise TimeoutError(f"the reports of run {run} did not come to their end")
+        return self._dropped.get(run, 0)
 
 
 def for_each_batch(
@@ -119,26 +158,13 @@ def for_each_batch(
 
 
 def compact_updates(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> None:
-    """Put the current rows of such a table into its newest batch and remove the older ones.
-
-    Run it between runs of the stream. The current rows are staged, then replace the newest
-    batch, then older batches go, each with one call: the table reads the same after every step.
-    """
-    system, folder = file_system(spark, path)
-    batches = sorted(int(s.getPath().getName().partition("=")[2]) for s in system.listStatus(folder)
-                     if s.getPath().getName().startswith(f"{BATCH}="))
-    if len(batches) < 2:
-        return
-    staged(latest_rows(spark, path, schema, keys), "updates").write.mode("overwrite").parquet(
-        f"{path}/{BATCH}={batches[-1]}")
-    for batch in batches[:-1]:
-        system.delete(file_system(spark, f"{path}/{BATCH}={batch}")[1], True)
+    """Fold all but the newest batch of such a table, which a restarted stream may write again,
+    and remove what is no longer read. The table reads the same after every step."""
+    log = LayeredTable(spark, path, schema, keys)
+    log.compact()
+    log.vacuum()
 
 
 def latest_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
     """Current row per key of a table written by ``write_batches`` in update mode."""
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    log = spark.read.schema(full).option("basePath", path).parquet(path)
-    rest = [f.name for f in schema.fields if f.name not in keys]
-    return (log.groupBy(*keys).agg(F.max_by(F.struct(*rest), BATCH).alias("row"))
-            .select(*keys, "row.*"))
+    return LayeredTable(spark, path, schema, keys).read()

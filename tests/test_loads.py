@@ -6,8 +6,10 @@ from types import SimpleNamespace
 
 import pytest
 from conftest import ROOT
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
+from etlkit.operators.reuse import measured, observed
 from etlkit.plans import job
 from etlkit.plans.etl import EtlJob, first_date_dimensions
 from etlkit.plans.incremental import (
@@ -241,3 +243,36 @@ def test_cluster_without_a_shared_folder_is_refused():
         shared_root(cluster)
     configured = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: "hdfs://x/cp/"))
     assert shared_root(configured) == "hdfs://x/cp"
+
+
+TEXTS = ["01", "007", "2024-01-05", "1e3", None, "x y"]
+
+
+def test_text_partitions_survive_merge_and_compaction(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    base = [(i, TEXTS[i % 6], float(i)) for i in range(24)]
+    spark.createDataFrame(base, "k int, p string, v double").repartition(4).write.partitionBy("p").parquet(path)
+    before = sorted(os.listdir(path))
+    changes = [(0, "01", 100.0, "U", 1), (1, "007", 0.0, "D", 1), (2, "01", 200.0, "U", 1), (30, "", 5.0, "I", 1), (31, "1", 6.0, "I", 1)]
+    merge_into_partitions(spark, path, spark.createDataFrame(changes, "k int, p string, v double, op string, at int"), ["k"], ["at"], "p")
+    for value in ("01", "007", "1e3", None):
+        compact_partition(spark, path, "p", value)
+    want = {k: (p, v) for k, p, v in base if k != 1} | {0: ("01", 100.0), 2: ("01", 200.0), 30: (None, 5.0), 31: ("1", 6.0)}
+    with options(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+        found = spark.read.parquet(path)
+    rows = [(r["k"], r["p"], r["v"]) for r in found.collect()]
+    assert sorted(rows, key=str) == sorted(((k, *r) for k, r in want.items()), key=str)
+    assert sorted(os.listdir(path)) == sorted([*before, "p=1"])
+
+
+def test_other_errors_of_an_observation_are_raised(spark):
+    class Broken:
+        @property
+        def get(self):
+            return spark.sparkContext._jvm.java.util.Objects.requireNonNull(None)
+
+    with pytest.raises(Py4JJavaError):
+        measured(Broken())
+    nothing, seen = observed(spark.range(3), "gone")
+    nothing.filter("false").write.format("noop").mode("overwrite").save()
+    assert measured(seen) == {}

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from etlkit.operators.sizing import hot_keys
 from etlkit.queries.streams import counts
+from etlkit.sources.layered import LayeredTable
 from etlkit.streaming.files import (
     compact_updates, for_each_batch, latest_rows, stream_files, write_batches, write_stream,
 )
@@ -54,7 +55,7 @@ def test_replayed_batch_replaces_itself(spark, events, split, tmp_path):
 
     def twice(batch, batch_id):
         for _ in range(2):
-            batch.write.mode("overwrite").parquet(f"{tmp_path}/out/batch_id={batch_id}")
+            LayeredTable(spark, f"{tmp_path}/out", stream.schema, ["user_id"]).write_delta(batch, batch_id)
 
     for_each_batch(stream, twice, f"{tmp_path}/cp")
     rows = latest_rows(spark, f"{tmp_path}/out", stream.schema, ["user_id"])
@@ -154,5 +155,24 @@ def test_idle_state_goes_and_totals_stay(spark, tmp_path):
     assert {tuple(r) for r in merge_totals(parts).collect()} == {(1, 40, 50.0), (2, 20, 25.0)}
     before = set(parts.collect())
     compact_updates(spark, f"{tmp_path}/out", totals.schema, ["key", "salt", "part"])
-    assert spark.read.parquet(f"{tmp_path}/out").select("batch_id").distinct().count() == 1
+    assert len(LayeredTable(spark, f"{tmp_path}/out", totals.schema, ["key", "salt", "part"]).batches()) == 1
     assert set(latest_rows(spark, f"{tmp_path}/out", totals.schema, ["key", "salt", "part"]).collect()) == before
+
+
+def test_late_rows_of_more_batches_than_spark_reports_fail_the_run(spark, tmp_path, conf):
+    """The late file is the third of eight, and Spark keeps two reports."""
+    conf(spark__sql__streaming__numRecentProgressUpdates="2")
+    for day in (100, 101, 1, *range(102, 107)):
+        spark.range(5).selectExpr(f"timestamp'2024-01-01' + make_interval(0, 0, 0, {day}, 0, 0, id) as ts").coalesce(1).write.mode(
+            "append").parquet(f"{tmp_path}/in")
+    schema = spark.read.parquet(f"{tmp_path}/in").schema
+
+    def run(label, late):
+        stream = stream_files(spark, f"{tmp_path}/in", schema, maxFilesPerTrigger=1)
+        hourly = windowed_aggregate(stream, "ts", [F.count(F.lit(1)).alias("n")], "1 hour", watermark="1 day")
+        return write_batches(hourly, f"{tmp_path}/{label}", f"{tmp_path}/cp-{label}", late=late)
+
+    with pytest.raises(ValueError, match="later than the watermark"):
+        run("fail", "fail")
+    query = run("drop", "drop")
+    assert len(query.recentProgress) == 2
