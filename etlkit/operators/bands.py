@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from etlkit.operators.ranks import place
 from etlkit.operators.reuse import staged
 from etlkit.operators.sizing import BROADCAST_LIMIT_BYTES, broadcast_if_small, is_small, row_salt, shuffle_partitions
 
@@ -112,21 +113,6 @@ def _by_bins(facts: DataFrame, cut: DataFrame, ranged: DataFrame, limit_bytes: i
     return keyed.join(broadcast_if_small(cut, limit_bytes), ["__level", "__bin"]).select("fact", "band")
 
 
-def _place(bounds: list[float], number: Column, counted: bool) -> Column:
-    """How many of the ascending ``bounds`` are below ``number``, or at most it if ``counted``.
-
-    By halving steps over a literal array, inside the JVM.
-    """
-    cuts, steps = F.lit(bounds), [1 << k for k in reversed(range(len(bounds).bit_length()))]
-
-    def further(at: Column, step: Column) -> Column:
-        bound = F.get(cuts, (at + step - 1).cast("int"))
-        passed = bound <= number if counted else bound < number
-        return at + F.when((at + step <= len(bounds)) & passed, step).otherwise(F.lit(0))
-
-    return F.aggregate(F.lit(steps).cast("array<int>"), F.lit(0), further) if bounds else F.lit(0)
-
-
 def _quantiles(facts: DataFrame, ranged: DataFrame, ranges: int) -> list[float]:
     """Ascending cuts that leave about as many values and band ends in each range; a value that
     holds several ranges' rows is named several times."""
@@ -142,14 +128,14 @@ def _quantiles(facts: DataFrame, ranged: DataFrame, ranges: int) -> list[float]:
 def _by_sweep(facts: DataFrame, ranged: DataFrame) -> DataFrame:
     ranges = shuffle_partitions(facts)
     bounds = _quantiles(facts, ranged, ranges)
-    first, last = _place(bounds, F.col("__axis"), False), _place(bounds, F.col("__axis"), True)
+    first, last = place(bounds, F.col("__axis"), False), place(bounds, F.col("__axis"), True)
     spread = F.pmod(row_salt(facts, _SPREAD), last - first + 1)
     kinds = {name: frame.schema[name].dataType for frame, name in ((facts, "fact"), (ranged, "band"))}
     none = {name: F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()}
     values = facts.select(
         (first + spread).cast("int").alias("range"), F.col("__axis").alias("axis"), F.lit(1).alias("side"),
         F.lit(None).cast("double").alias("until"), "fact", none["band"])
-    reached = F.sequence(_place(bounds, F.col("__from"), False), _place(bounds, F.col("__to"), True))
+    reached = F.sequence(place(bounds, F.col("__from"), False), place(bounds, F.col("__to"), True))
     opened = ranged.select(
         F.explode(reached).alias("range"), F.col("__from").alias("axis"), F.lit(0).alias("side"),
         F.col("__to").alias("until"), none["fact"], "band")

@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from etlkit.operators.sizing import (
-    BROADCAST_LIMIT_BYTES, broadcast_if_small, hot_keys, is_hot, is_small, measured_bytes, row_salt,
-    salts_for, shuffle_partitions,
+    BROADCAST_LIMIT_BYTES, broadcast_if_small, hot_keys, is_hot, is_small, measured_bytes, parts_for, parts_of,
+    row_salt, shuffle_partitions,
 )
 
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
@@ -91,21 +91,40 @@ def salt_sides(
     salts: int | None = None,
     name: str = "salt",
 ) -> tuple[DataFrame, DataFrame]:
-    """Add a salt to both sides so that joining on (keys, salt) equals joining on keys.
-
-    Only keys holding more than ``share`` of the left rows are salted: their left
-    rows spread over the salts and their right rows are repeated once per salt.
-    All other rows keep salt 0. Runs one scan of the left keys to find hot ones.
+    """Add a salt to both sides so that an inner join on (keys, salt) equals one on keys.
+
+    A key that holds more than ``share`` of a side is cut there into as many parts as its own
+    share needs (``salts`` on the left if given). Its rows form a rectangle of left parts by right
+    parts: a left row lies in one of the left parts and is repeated for each right part, a right
+    row the other way round, so each pair of rows meets in one cell and no cell holds more than a
+    part of either side. A key that is hot on one side only is repeated on the other as often as it
+    is cut. All other rows keep salt 0. Runs one scan of the keys of each side to find hot ones.
     """
     keys = list(on)
     _same_types(left, right, keys)
-    hot = hot_keys(left, keys, share)
-    salts = salts or salts_for(left, hot)
-    none = F.lit(0)
-    spread = F.when(is_hot(left, keys, hot), row_salt(left, salts)).otherwise(none)
-    every = F.sequence(none, F.lit(salts - 1))
-    copies = F.when(is_hot(right, keys, hot), every).otherwise(F.array(none))
-    return left.withColumn(name, spread), right.withColumn(name, F.explode(copies))
+    lefts, rights = _rectangles(left, right, keys, share, salts)
+    return (_cells(left, parts_of(left, keys, lefts), parts_of(left, keys, rights), True, name),
+            _cells(right, parts_of(right, keys, lefts), parts_of(right, keys, rights), False, name))
+
+
+def _rectangles(
+    left: DataFrame, right: DataFrame, keys: list[str], share: float, salts: int | None
+) -> tuple[dict[int, int], dict[int, int]]:
+    lefts, rights = (parts_for(side, hot_keys(side, keys, share)) for side in (left, right))
+    return ({h: salts for h in lefts} if salts else lefts), rights
+
+
+def _cells(df: DataFrame, lefts: Column, rights: Column, is_left: bool, name: str) -> DataFrame:
+    """``df`` once for each cell of its key's rectangle that the row belongs to."""
+    own = row_salt(df, lefts if is_left else rights)
+    sized = df.withColumns({"__own": own, "__lefts": lefts, "__rights": rights})
+    if is_left:
+        cells = F.transform(F.sequence(F.lit(0), F.col("__rights") - 1), lambda j: F.col("__own") * F.col("__rights") + j)
+    else:
+        cells = F.transform(F.sequence(F.lit(0), F.col("__lefts") - 1), lambda i: i * F.col("__rights") + F.col("__own"))
+    single = F.array(F.lit(0))
+    cells = F.when((F.col("__lefts") == 1) & (F.col("__rights") == 1), single).otherwise(cells)
+    return sized.withColumn(name, F.explode(cells)).drop("__own", "__lefts", "__rights")
 
 
 def salted_join(
@@ -116,12 +135,30 @@ def salted_join(
     share: float = 0.01,
     salts: int | None = None,
 ) -> DataFrame:
-    """Inner or left join that spreads the left side's hot keys; result as unsalted."""
+    """Inner or left join that spreads the hot keys of either side; result as unsalted.
+
+    For a left join the keys that are cut on the right are read once more: a left row is repeated
+    only for a key that is really there, so it has a match in some cell and its copies
+    without one are left out.
+    """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left")
     keys = list(on)
-    salted_left, salted_right = salt_sides(left, right, keys, share, salts, "__salt")
-    return salted_left.join(salted_right, [*keys, "__salt"], how).drop("__salt")
+    if how == "inner":
+        salted_left, salted_right = salt_sides(left, right, keys, share, salts, "__salt")
+        return salted_left.join(salted_right, [*keys, "__salt"]).drop("__salt")
+    _same_types(left, right, keys)
+    lefts, rights = _rectangles(left, right, keys, share, salts)
+    parts = parts_of(right, keys, rights)
+    salted_right = _cells(right, parts_of(right, keys, lefts), parts, False, "__salt")
+    if not rights:
+        salted_left = _cells(left, parts_of(left, keys, lefts), F.lit(1), True, "__salt")
+        return salted_left.join(salted_right, [*keys, "__salt"], "left").drop("__salt")
+    cut = right.filter(is_hot(right, keys, rights)).select(*keys, parts.alias("__parts")).distinct()  # at most 1 / share
+    known = left.join(F.broadcast(cut), keys, "left").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
+    salted_left = _cells(known, parts_of(known, keys, lefts), F.col("__parts"), True, "__salt")
+    joined = salted_left.join(salted_right.withColumn("__met", F.lit(True)), [*keys, "__salt"], "left")
+    return joined.filter(F.col("__met") | (F.col("__parts") == 1)).drop("__salt", "__met", "__parts")
 
 
 def hot_key_split_join(

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, functions as F
 
-from etlkit.operators.sizing import hot_keys, is_hot, row_salt, salts_for
-from etlkit.workspace import file_system
+from etlkit.operators.ranks import place
+from etlkit.operators.sizing import hot_keys, is_hot, row_salt, salts_by_key
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 TIES = 1 << 20
+# Rows that the cuts of a curve are read from, about.
+CUT_SAMPLE = 20_000
 
 
 def partition_summary(df: DataFrame, label: str = "") -> DataFrame:
@@ -61,8 +64,7 @@ def colocate(
     result can then be merged by keys. Runs one scan of the keys to find hot ones.
     """
     hot = hot_keys(df, list(keys), share)
-    salt = F.when(is_hot(df, list(keys), hot), row_salt(df, salts_for(df, hot)))
-    salted = df.withColumn("salt", salt.otherwise(F.lit(0)))
+    salted = df.withColumn("salt", row_salt(df, salts_by_key(df, list(keys), hot)))
     by = [*keys, "salt"]
     return salted.repartition(partitions, *by) if partitions else salted.repartition(*by)
 
@@ -83,6 +85,43 @@ def range_layout(
     return ranged.sortWithinPartitions(*columns).drop("__tie")
 
 
+def _cuts(df: DataFrame, columns: Sequence[str], ranks: int) -> list[list]:
+    """Per column, ascending values that split a sample of about ``CUT_SAMPLE`` rows evenly."""
+    used = df.select(*[F.col(f"`{c}`") for c in columns])
+    share = min(1.0, CUT_SAMPLE / max(1, used.count()))
+    sample = used.sample(share, seed=1).limit(2 * CUT_SAMPLE).collect()
+    cuts = []
+    for i in range(len(columns)):
+        found = sorted(r[i] for r in sample if r[i] is not None and r[i] == r[i])
+        cuts.append(sorted({found[len(found) * k // ranks] for k in range(1, ranks)}) if found else [])
+    return cuts
+
+
+def curve_layout(
+    df: DataFrame, columns: Sequence[str], partitions: int | None = None, bits: int = 10
+) -> DataFrame:
+    """Range-partition along a curve through ``columns``, so files are narrow in each of them.
+
+    A value's rank is its place among ``2 ** bits`` sampled quantiles of its column, so columns
+    of any type and spread weigh alike. The ranks' bits are interleaved, highest first, into the
+    position on a Z-order curve, and rows are sorted by it. A filter on any one of n columns then
+    leaves about the n-th root of the files that it would leave of a sort by it. Runs a count and
+    a sample of these columns.
+    """
+    if bits * len(columns) > 62:
+        raise ValueError(f"{len(columns)} columns of {bits} bits do not fit a curve position")
+    names = [f"__rank{i}" for i in range(len(columns))]
+    cuts = _cuts(df, columns, 1 << bits)
+    ranked = df.withColumns({n: place(c, F.col(f"`{v}`"), True).cast("long") for n, c, v in zip(names, cuts, columns)})
+    position = F.lit(0).cast("long")
+    for bit in range(bits):
+        for i, name in enumerate(names):
+            taken = F.shiftright(name, bit).bitwiseAND(1)
+            position = position.bitwiseOR(F.shiftleft(taken, bit * len(names) + len(names) - 1 - i))
+    placed = ranked.withColumn("__curve", position).drop(*names)
+    return range_layout(placed, ["__curve"], partitions).drop("__curve")
+
+
 # Keep many small partition values in parallel tasks; large ones are still split.
 BALANCED_WRITE = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
 
@@ -95,13 +134,13 @@ def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def stored_bytes(df: DataFrame) -> int:
-    """Total size of the files behind a file-based frame, from the file system's own
-    listing: no data is read."""
-    total = 0
-    for uri in df.inputFiles():
-        system, path = file_system(df.sparkSession, uri, encoded=True)
-        total += system.getFileStatus(path).getLen()
-    return total
+    """Total size of the files behind a file-based frame, from one listing that Spark spreads
+    over tasks: no data is read."""
+    files = [unquote(uri) for uri in df.inputFiles()]
+    if not files:
+        return 0
+    listed = df.sparkSession.read.format("binaryFile").load(files)
+    return listed.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
 
 
 def compacted(

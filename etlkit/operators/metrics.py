@@ -6,8 +6,9 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from etlkit.operators.reuse import staged
 from etlkit.operators.sizing import (
-    by_tasks, hot_keys, is_hot, row_salt, salts_for, shuffle_partitions,
+    by_tasks, frequent_keys, hot_keys, key_hash, parts_of, row_salt, salts_by_key, shuffle_partitions,
 )
 
 FUNCTIONS = {
@@ -109,8 +110,8 @@ def salted_aggregate(
 ) -> DataFrame:
     """Two-phase aggregate: by (keys, salt), then by keys; equal to the plain aggregate.
 
-    Only groups above ``share`` of the rows are salted. The first phase spreads them over
-    ``salts`` tasks, the second merges at most ``salts`` rows per group. Averages travel
+    Only groups above ``share`` of the rows are salted, each by its own share unless ``salts`` is
+    given. The first phase spreads them over their salts, the second merges at most that many rows per group. Averages travel
     as sum and count. Runs one scan of the keys to find hot groups.
     """
     pairs = _expand(metrics)
@@ -119,13 +120,15 @@ def salted_aggregate(
         raise ValueError(f"not mergeable over salts: {unsupported}")
     keys = list(group_by_columns)
     hot = hot_keys(df, keys, share) if keys else {}
-    salts = salts or (salts_for(df, hot) if keys else shuffle_partitions(df))
     needed = list(dict.fromkeys((c, base) for c, f in pairs for base in _PARTIAL[f][0]))
     names = {pair: f"__p{i}" for i, pair in enumerate(needed)}
     used = df.select(*dict.fromkeys([*group_by_columns, *[c for c, _ in pairs]]))
-    salt = row_salt(used, salts)
+    if keys:
+        parts = parts_of(used, keys, {h: salts for h in hot}) if salts else salts_by_key(used, keys, hot)
+    else:
+        parts = salts or shuffle_partitions(df)
     partial = (
-        used.withColumn("__salt", F.when(is_hot(used, keys, hot), salt).otherwise(0) if keys else salt)
+        used.withColumn("__salt", row_salt(used, parts))
         .groupBy(*group_by_columns, "__salt")
         .agg(*[FUNCTIONS[base](c).alias(names[c, base]) for c, base in needed])
     )
@@ -151,7 +154,34 @@ def top_k(df: DataFrame, k: int, *order: Column | str) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+# Groups that the keys outside a sketch are counted in together.
+REST_BUCKETS = 1 << 14
+
+
 def top_keys(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
-    """The ``k`` most frequent keys as (keys, rows)."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    return top_k(counted, k, F.col("rows").desc(), *keys)
+    """The ``k`` most frequent keys as (keys, rows), exactly; ties go to smaller keys.
+
+    A frequent-items sketch names candidates, which one pass counts exactly; the other keys
+    are counted together in ``REST_BUCKETS`` groups by their hash. A group with fewer rows than the
+    k-th candidate holds no key that could enter. The keys of the groups that do not, if there are
+    any, are counted as well. So what is shuffled are candidates and groups, not all keys, unless
+    the counts are nearly even. Runs the sketch and the count.
+    """
+    keys = list(keys)
+    _, found = frequent_keys(df, keys, 20 * k + 1000)
+    found = sorted(found, key=lambda f: -f[1])[:4 * k]
+    own = key_hash(df, keys)
+    known = own.isin([h for h, _ in found]) if found else F.lit(False)
+    bucket = F.pmod(own, F.lit(REST_BUCKETS)).cast("int")
+    tagged = df.select(
+        F.when(known, F.struct(*[F.col(f"`{c}`").alias(c) for c in keys])).alias("key"),
+        F.when(~known, bucket).alias("bucket"))
+    counted = staged(tagged.groupBy("key", "bucket").agg(F.count(F.lit(1)).alias("rows")), "top-keys")
+    candidates = counted.filter("bucket IS NULL").select("key.*", "rows")
+    leading = candidates.orderBy(F.desc("rows")).limit(k).collect()
+    least = leading[-1]["rows"] if len(leading) == k else 1
+    open_buckets = [r["bucket"] for r in counted.filter(F.col("bucket").isNotNull() & (F.col("rows") >= least)).collect()]
+    if open_buckets:
+        rest = df.filter(~known & bucket.isin(open_buckets)).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+        candidates = candidates.unionByName(rest)
+    return top_k(candidates, k, F.col("rows").desc(), *keys)

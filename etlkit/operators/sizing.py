@@ -39,15 +39,29 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def is_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
-    """Whether ``df`` measurably fits the broadcast limit. Runs one aggregate job."""
+    """Whether ``df`` measurably fits the broadcast limit.
+
+    First it is read for as many rows as pass the limit by their number alone, partition after
+    partition, and no further; only a frame with fewer rows is measured by an aggregate job.
+    """
+    most = limit_bytes // (_ROW_OVERHEAD + _FIELD_BYTES * len(df.columns)) + 1
+    if beyond(df, most).collect():
+        return False
+    if all(isinstance(f.dataType, _FIXED_WIDTH) for f in df.schema.fields):
+        return True
     return measured_bytes(df) <= limit_bytes
 
 
+def beyond(df: DataFrame, rows: int) -> DataFrame:
+    """One row if ``df`` has ``rows`` rows or more, else none; no column is read."""
+    return df.select(F.lit(1).alias("row")).offset(rows - 1).limit(1)
+
+
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast only when the measured size is within the limit.
 
     Beyond it the frame is returned without a hint, so Spark shuffles both sides
-    and splits skewed partitions at run time. Runs one aggregate job.
+    and splits skewed partitions at run time. Runs the jobs of ``is_small``.
     """
     return F.broadcast(df) if is_small(df, limit_bytes) else df
 
@@ -66,8 +80,12 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = 0.01) -> dict[int, f
     below the threshold may be included, which is harmless because hot keys are only
     laid out differently, never dropped.
     """
-    k = math.ceil(1 / share)
-    tracked = 12 * k
+    total, top = frequent_keys(df, keys, 12 * math.ceil(1 / share))
+    return {h: n / total for h, n in top if n > share * total}
+
+
+def frequent_keys(df: DataFrame, keys: list[str], tracked: int) -> tuple[int, list[tuple[int, int]]]:
+    """(rows, [(hash, estimated rows)]) of the keys in a frequent-items sketch that tracks ``tracked``."""
     merged = (
         by_tasks(df.select(key_hash(df, keys).alias("h")))
         .agg(F.count(F.lit(1)).alias("n"),
@@ -79,10 +97,7 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = 0.01) -> dict[int, f
         .select("n", F.expr(f"approx_top_k_estimate(sketch, {tracked})").alias("top"))
         .first()
     )
-    if merged is None:
-        return {}
-    total = merged["n"]
-    return {t["item"]: t["count"] / total for t in merged["top"] if t["count"] > share * total}
+    return (merged["n"], [(t["item"], t["count"]) for t in merged["top"]]) if merged else (0, [])
 
 
 def by_tasks(df: DataFrame) -> GroupedData:
@@ -106,7 +121,26 @@ def salts_for(df: DataFrame, hot: dict[int, float]) -> int:
     return max(2, math.ceil(max(hot.values()) * shuffle_partitions(df)))
 
 
-def row_salt(df: DataFrame, salts: int) -> Column:
+def parts_for(df: DataFrame, hot: dict[int, float]) -> dict[int, int]:
+    """Per hot key, the parts that bring it down to about one shuffle partition's share, two at least."""
+    return {h: max(2, math.ceil(share * shuffle_partitions(df))) for h, share in hot.items()}
+
+
+def parts_of(df: DataFrame, keys: list[str], parts: dict[int, int]) -> Column:
+    """The parts of the row's key; 1 for keys without an entry."""
+    if not parts:
+        return F.lit(1)
+    known = F.create_map(*[F.lit(x) for entry in parts.items() for x in entry])
+    own = key_hash(df, keys)
+    return F.when(own.isin(list(parts)), F.coalesce(known[own], F.lit(1))).otherwise(F.lit(1))
+
+
+def salts_by_key(df: DataFrame, keys: list[str], hot: dict[int, float]) -> Column:
+    """Number of salts of the row's key: its own share decides."""
+    return parts_of(df, keys, parts_for(df, hot))
+
+
+def row_salt(df: DataFrame, salts: int | Column) -> Column:
     """A salt in ``[0, salts)`` that a retried task computes again identically.
 
     It mixes the row's hash with the number of the partition the row is read
@@ -114,8 +148,9 @@ def row_salt(df: DataFrame, salts: int) -> Column:
     """
     hashable = [F.col(f"`{f.name}`") for f in df.schema.fields
                 if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    row = F.pmod(F.xxhash64(*hashable), F.lit(salts))
-    return F.pmod(row + F.spark_partition_id(), F.lit(salts)).cast("int")
+    salts = F.lit(salts) if isinstance(salts, int) else salts
+    row = F.pmod(F.xxhash64(*hashable), salts)
+    return F.pmod(row + F.spark_partition_id(), salts).cast("int")
 
 
 def is_hot(df: DataFrame, keys: list[str], hot: dict[int, float]) -> Column:

@@ -9,11 +9,13 @@ from etlkit.operators.layout import (
 )
 from etlkit.operators.metrics import exact_sum
 from etlkit.operators.nulls import handle_null_values, remove_duplicates
+from etlkit.operators.profiles import merged_report, store_profile, stored_profiles
 from etlkit.operators.quality import (
     check_data_quality, check_rules, split_by_rules, tag_violations,
 )
 from etlkit.operators.windows import number_rows
 from etlkit.queries.registry import query, table
+from etlkit.workspace import new_path
 
 GAPS_SQL = """
 WITH o AS (SELECT o_orderkey, o_custkey, o_orderdate,
@@ -257,3 +259,33 @@ SELECT count(*) AS distinct_keys, CAST(sum(rows) AS BIGINT) AS total_rows, max(r
 FROM k""")
 def skew_profile_query(spark, sf):
     return skew_profile(table(spark, sf, "lineitem"), ["l_suppkey"])
+
+
+PROFILED = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@query("stored_profile", f"""
+WITH o AS (SELECT * REPLACE (CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS o_totalprice,
+                             nullif(o_orderpriority, '5-LOW') AS o_orderpriority) FROM orders)
+{" UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count(*) AS total_rows, count(*) - count({c}) AS null_count,
+       count({c}) / count(*) * 100 AS completeness, {low} AS low, {high} AS high FROM o"""
+    for c, low, high in (
+        ("o_orderkey", "min(o_orderkey)::DOUBLE", "max(o_orderkey)::DOUBLE"),
+        ("o_custkey", "min(o_custkey)::DOUBLE", "max(o_custkey)::DOUBLE"),
+        ("o_totalprice", "min(o_totalprice)::DOUBLE", "max(o_totalprice)::DOUBLE"),
+        ("o_orderdate", "datediff('day', DATE '1970-01-01', min(o_orderdate)::DATE)::DOUBLE",
+         "datediff('day', DATE '1970-01-01', max(o_orderdate)::DATE)::DOUBLE"),
+        ("o_orderpriority", "NULL::DOUBLE", "NULL::DOUBLE")))}""")
+def stored_profile(spark, sf):
+    """Profiles of the orders of each year, one of them stored twice, merged without reading orders again."""
+    path = new_path(spark, "profiles")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice")).alias("o_totalprice"),
+        F.col("o_orderdate").cast("date").alias("o_orderdate"),
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("o_orderpriority"))
+    years = [r["year"] for r in orders.select(F.year("o_orderdate").alias("year")).distinct().collect()]
+    for year in [*years, years[0]] if years else []:
+        store_profile(orders.filter(F.year("o_orderdate").eqNullSafe(F.lit(year))), path, str(year), PROFILED)
+    return merged_report(stored_profiles(spark, path)).select(
+        "column_name", "total_rows", "null_count", "completeness", "low", "high")

@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from etlkit.operators.layout import compacted
+from etlkit.operators.layout import compacted, curve_layout
 from etlkit.operators.reuse import measured, observed
 from etlkit.queries.registry import query, table
 from etlkit.settings import WarehouseSettings
@@ -166,6 +166,16 @@ def write_clustered(spark, sf):
         F.count(F.lit(1)).alias("lines"), F.max("l_extendedprice").alias("max_price"))
 
 
+@query("write_curve", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice >= 100000 AND o_totalprice < 120000""")
+def write_curve(spark, sf):
+    """Orders along a curve through customer and price, read by a range of prices."""
+    path = new_path(spark, "curve")
+    columns = ["o_custkey", "o_totalprice"]
+    curve_layout(table(spark, sf, "orders").select("o_orderkey", *columns), columns, 16).write.parquet(path)
+    return spark.read.parquet(path).filter("o_totalprice >= 100000 AND o_totalprice < 120000")
+
+
 @query("write_with_metrics", """
 SELECT count(*) AS stored_rows, count(*) AS observed_rows,
        count(*) FILTER (o_orderstatus = 'F') AS observed_final
