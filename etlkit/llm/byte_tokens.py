@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 import os
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import regex
 
+from etlkit.llm.worker_tables import worker_table
+
 # Kept per Python worker, about 200 bytes each: text between spaces, and the parts that the
 # vocabulary's pattern cuts it into. A table is emptied when full.
 KEPT_PIECES = 1_000_000
@@ -136,7 +137,6 @@ class TextEncoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> TextEncoder:
-    """One encoder per Python worker and vocabulary."""
-    return TextEncoder(path)
+    """One encoder per Python worker."""
+    return worker_table(f"bytes:{path}", lambda: TextEncoder(path))

@@ -8,6 +8,9 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
+from etlkit.operators.reuse import staged
+from etlkit.session import options
+
 # Words are runs of anything but ASCII white space; bytes.split() cuts at the same six bytes.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 # Text taken into Python lists at once, so that a batch of very long texts stays small.
@@ -24,6 +27,16 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[f"`{old}`"].alias(new) for new, old in columns.items()])
 
 
+# Rows handed to Python at once where they are whole documents.
+_FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder, with few rows at a time on their way through Python."""
+    with options(df.sparkSession, _FEW_ROWS):
+        return staged(df, label)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about SLICE_BYTES of ``column``, one row at least."""
     for batch in batches:

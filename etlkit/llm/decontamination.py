@@ -7,12 +7,15 @@ no run of ``SEED`` words is left; running Karp-Rabin hashes find them. The marke
 (tiles) need not be in the same order in both, so reordered passages are found, and the
 share of the item's words in tiles decides.
 
-The items are the stated query set: they are taken in blocks of bounded size and each block
-is sent to all tasks, so a document is neither shuffled nor compared with other documents.
-
-Cases: a null or empty text or item matches nothing; an item of fewer than ``SEED`` words
-has no seed and is not looked for; repeated items are reported each; texts of any length
-are searched whole; other columns are carried along.
+The items are the stated query set: they are taken in blocks of bounded size, one block after the
+other, and a block is sent to all tasks, so a document is neither shuffled nor compared with
+other documents, and neither the driver nor a task holds more than a block.
+
+Cases: a null or empty text or item matches nothing; an item of fewer than ``SEED`` words is its
+own seed and found where all of it stands; repeated items and items without an id are reported
+each; of equally long matches the one that begins first in the item, then in the text, is marked
+first; texts of any length are searched whole; empty tables of documents or items give no match;
+other columns are carried along.
 """
 
 from __future__ import annotations
@@ -20,13 +23,16 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from etlkit.llm.common import pick, text_slices, word_count
+from etlkit.llm.common import pick, slices, text_slices, word_count, written
 from etlkit.llm.shingles import PLAIN, mix, word_hashes
+from etlkit.operators.reuse import staged
 
 SEED = 5
 # Least share of an item's words that tiles cover.
@@ -120,6 +126,8 @@ class Block:
     seeds: np.ndarray
     starts: np.ndarray
     places: np.ndarray
+    # Length -> (hashes of the items that are so short, ascending; their numbers).
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
     @classmethod
     def of(cls, rows: list) -> Block:
@@ -130,7 +138,14 @@ class Block:
         places = np.flatnonzero(inside)
         order = places[np.argsort(seeds[places], kind="stable")]
         keys, starts = np.unique(seeds[order], return_index=True)
-        return cls([i for i, _ in rows], words, borders, keys, np.r_[starts, len(order)], order)
+        lengths, short = np.diff(borders), {}
+        for length in range(1, SEED):
+            items = np.flatnonzero(lengths == length)
+            if len(items):
+                hashes = running_hashes(words, length)[borders[items]]
+                by_hash = np.argsort(hashes, kind="stable")
+                short[length] = hashes[by_hash], items[by_hash]
+        return cls([i for i, _ in rows], words, borders, keys, np.r_[starts, len(order)], order, short)
 
     def _candidates(self, seeds: np.ndarray, coverage: float) -> list[int]:
         """Items whose words could be covered far enough by the given seeds (their numbers)."""
@@ -139,14 +154,29 @@ class Block:
         items, counts = np.unique(np.searchsorted(self.borders, covered, "right") - 1, return_counts=True)
         return items[counts >= coverage * np.diff(self.borders)[items]].tolist()
 
+    def _whole(self, words: np.ndarray, borders: np.ndarray, length: int, hashes: np.ndarray, items: np.ndarray,
+               found: list[list[dict]]) -> None:
+        """Add the items of ``length`` words at the first place of each text that holds them."""
+        own = running_hashes(words, length)
+        hits = np.flatnonzero(np.isin(own, hashes))
+        owner = np.searchsorted(borders, hits, "right") - 1
+        within = hits + length <= borders[owner + 1]
+        hits, owner = hits[within], owner[within]
+        _, first = np.unique(np.stack([owner.astype(np.uint64), own[hits]], axis=1), axis=0, return_index=True)
+        for hit, text in zip(hits[first].tolist(), owner[first].tolist()):
+            a, b = np.searchsorted(hashes, own[hit], "left"), np.searchsorted(hashes, own[hit], "right")
+            tile = {"doc_start": hit - int(borders[text]), "item_start": 0, "length": length}
+            found[text] += [{"item_id": self.ids[i], "item_words": length, "covered": length, "tiles": [tile]}
+                            for i in items[a:b].tolist()]
+
     def search(self, texts: list[str], coverage: float) -> list[list[dict]]:
         """For each text, the items that its tiles cover far enough."""
         found: list[list[dict]] = [[] for _ in texts]
-        if not len(self.seeds):
-            return found
         words, borders = word_hashes(texts, PLAIN)
+        for length, (hashes, items) in self.short.items():
+            self._whole(words, borders, length, hashes, items, found)
         own = running_hashes(words, SEED)
-        if not len(own):
+        if not len(own) or not len(self.seeds):
             return found
         at = np.minimum(np.searchsorted(self.seeds, own), len(self.seeds) - 1)
         hits = np.flatnonzero(self.seeds[at] == own)
@@ -187,23 +217,45 @@ def blocks(items: DataFrame, item_id: str = "item_id", text: str = "text",
                         .orderBy("item_id", "text").collect()])
 
 
-def matches(docs: DataFrame, items: DataFrame, text: str = "text", coverage: float = COVERAGE,
-            block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` as a struct ``doc`` with the array ``found`` of covered items and their tiles."""
-    out = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"))
-    parts = [_search(F.col(f"doc.`{text}`"), block, coverage) for block in blocks(items, block_words=block_words)]
-    return out.withColumn("found", F.concat(*parts) if len(parts) > 1 else parts[0])
+def _one_by_one(parts: Iterator[DataFrame]) -> DataFrame:
+    """The union of ``parts``, each written before the next one is made; a single one is left lazy."""
+    done, last = [], next(parts)
+    for part in parts:
+        done.append(staged(last, "matches"))
+        last = part
+    return reduce(DataFrame.unionAll, [*done, last])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                 **options) -> DataFrame:
-    """One row per document and covered item, with the coverage and the tiles."""
-    found = matches(pick(docs, doc_id=doc_id, text=text), items, **options)
-    return found.filter(F.size("found") > 0).select(F.col("doc.doc_id").alias("doc_id"), F.explode("found").alias("f")).select(
-        "doc_id", "f.item_id", "f.item_words", "f.covered",
-        (F.col("f.covered") / F.col("f.item_words")).alias("coverage"), "f.tiles")
+                 coverage: float = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row per document and covered item, with the coverage and the tiles. Runs a job per block
+    but the last."""
+    rows = pick(docs, doc_id=doc_id, text=text)
 
+    def covered(block: Block) -> DataFrame:
+        found = rows.select("doc_id", _search(F.col("text"), block, coverage).alias("found"))
+        return found.filter(F.size("found") > 0).select("doc_id", F.explode("found").alias("f")).select(
+            "doc_id", "f.item_id", "f.item_words", "f.covered",
+            (F.col("f.covered") / F.col("f.item_words")).alias("coverage"), "f.tiles")
 
-def clean(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The documents in which no item is covered far enough."""
-    return matches(docs, items, text, **options).filter(F.size("found") == 0).select("doc.*")
+    return _one_by_one(covered(block) for block in blocks(items, block_words=block_words))
+
+
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", coverage: float = COVERAGE,
+          block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The documents in which no item is covered far enough. Runs a job per block.
+
+    Rows pass through Python a few at a time, so none wait for others in the JVM.
+    """
+    def without(block: Block):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in slices(batches, text):
+                found = block.search([t or "" for t in part[text].to_pylist()], coverage)
+                yield part.filter(pa.array([not f for f in found], pa.bool_()))
+
+        return run
+
+    schema, left = docs.schema, docs
+    for block in blocks(items, block_words=block_words):
+        left = written(left.mapInArrow(without(block), schema), "clean")
+    return left

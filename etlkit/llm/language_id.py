@@ -23,8 +23,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from etlkit.llm.common import pick, text_slices
+from etlkit.llm.common import pick, slices, text_slices, written
 from etlkit.llm.pieces import SPACE, read_pieces
+from etlkit.llm.worker_tables import worker_table
 from etlkit.operators.reuse import staged
 
 UNDETERMINED = "und"
@@ -276,8 +277,8 @@ class Scorer:
                              "score": np.where(words > 0, sure, 0.0)})
 
 
-# The scorer of a Python worker, kept from task to task.
-_scorers: dict[str, Scorer] = {}
+def _scorer(model: Model) -> Scorer:
+    return worker_table(f"language:{model.key}", lambda: Scorer(model))
 
 
 def language(text: Column, model: Model) -> Column:
@@ -288,10 +289,7 @@ def language(text: Column, model: Model) -> Column:
             if not model.languages:
                 yield pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": [0.0] * len(texts)})
                 continue
-            if model.key not in _scorers:
-                _scorers.clear()
-                _scorers[model.key] = Scorer(model)
-            scorer = _scorers[model.key]
+            scorer = _scorer(model)
             yield pd.concat([scorer.predict(part) for part in text_slices(texts)]
                             or [pd.DataFrame({"lang_pred": [], "score": []})], ignore_index=True)
 
@@ -309,8 +307,16 @@ def predictions(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
 
 
 def identified(docs: DataFrame, path: str, least: float = 0.5, text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose language is found with a score of at least ``least``."""
+    """The rows of ``docs`` whose language is found with a score of at least ``least``.
+
+    Runs jobs. Rows pass through Python a few at a time, so none wait for others in the JVM.
+    """
     model = train(docs, path, text=text, **options)
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"))
-    found = rows.withColumn("found", language(F.col(f"doc.`{text}`"), model))
-    return found.filter((F.col("found.lang_pred") != UNDETERMINED) & (F.col("found.score") >= least)).select("doc.*")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text):
+            if model.languages:
+                found = _scorer(model).predict([t or "" for t in part[text].to_pylist()])
+                yield part.filter(pa.array((found["lang_pred"] != UNDETERMINED) & (found["score"] >= least)))
+
+    return written(docs.mapInArrow(run, docs.schema), "identified")

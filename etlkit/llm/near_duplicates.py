@@ -1,12 +1,12 @@
 """Near-duplicate documents by a multi-index Hamming join of b-bit MinHash signatures.
 
 A document's set holds its distinct five-word shingles. Its signature keeps ``BITS`` bits of
-each of ``HASHES`` minima. Two documents that are 85% alike differ in more than ``DISTANCE``
-positions with a chance below one in a hundred thousand. Signatures are cut into ``CHUNKS``
-chunks; two that differ in at most ``DISTANCE`` positions have a chunk with at most
-``DISTANCE // CHUNKS`` (one) differing position, so they agree on one of the keys made of a
-chunk with one position left out. All pairs within the distance share a key; those that matter
-for the groups are confirmed on the full sets.
+each of ``HASHES`` minima. Two documents that are just as alike as is asked differ in more positions
+than the signature distance (``distance_for``: 31 at 85%) with a chance of about one in a hundred
+thousand. Signatures are cut into ``CHUNKS`` chunks; two within the distance have a chunk with at
+most ``distance // CHUNKS`` (one at 85%) differing positions, so they agree on one of the keys made
+of a chunk with so many positions left out. All pairs within the distance share a key; those that
+matter for the groups are confirmed on the full sets.
 
 Groups, not pairs, are wanted, so no group is expanded into all its pairs. Equal sets form a
 class and only its first row goes on. In each star round every row is compared, over all keys
@@ -24,8 +24,10 @@ their names; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,8 @@ from etlkit.operators.sizing import broadcast_if_small
 
 HASHES, BITS = 96, 8
 CHUNKS, CHUNK = 16, 6
-DISTANCE = 31
+# Chance that a pair just as alike as is asked lies beyond the signature distance.
+MISSED = 1.2e-5
 # Linked: 100 * intersection >= PERCENT * union.
 PERCENT = 85
 # Star rounds before what is left is compared in full.
@@ -56,6 +59,21 @@ _FIRST = "shingle long, row long, label long, after long, n_shingles long, befor
 _SIGNED = ", ".join(["row long", "n_shingles long", "print binary", *(f"{s} long" for s in _LONGS)])
 
 
+def distance_for(percent: int) -> int:
+    """Positions in which signatures of sets ``percent`` alike differ at most, but for ``MISSED``.
+
+    Each position differs with the chance that the minima differ and their kept bits do too.
+    """
+    differs = (1 - percent / 100) * (1 - 0.5**BITS)
+    beyond, at = 1.0, -1
+    while beyond > MISSED and at < HASHES:
+        at += 1
+        beyond -= math.comb(HASHES, at) * differs**at * (1 - differs)**(HASHES - at)
+    if at // CHUNKS >= CHUNK:
+        raise ValueError(f"sets {percent}% alike may differ in all positions of every chunk")
+    return at
+
+
 def signatures(values: np.ndarray, borders: np.ndarray) -> np.ndarray:
     """One row of HASHES bytes per text; every text must have a value."""
     minima = np.empty((len(borders) - 1, HASHES), np.uint64)
@@ -80,20 +98,24 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                **{s: np.ascontiguousarray(longs[:, i]) for i, s in enumerate(_LONGS)}})
 
 
-def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys of each signature: every chunk with each of its positions left out."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        longs = np.stack([batch[s].to_numpy() for s in _LONGS], axis=1)
-        signed = np.ascontiguousarray(longs).view(np.uint8).astype(np.int64).reshape(-1, CHUNKS, CHUNK)
-        for chunk in range(CHUNKS):
-            for out in range(CHUNK):
-                key = np.full(len(signed), chunk * CHUNK + out, np.int64)
-                for place in range(CHUNK):
-                    if place != out:
+def _index(errors: int):
+    """Keys of each signature: every chunk with each choice of ``errors`` positions left out."""
+    kept = list(combinations(range(CHUNK), CHUNK - errors))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            longs = np.stack([batch[s].to_numpy() for s in _LONGS], axis=1)
+            signed = np.ascontiguousarray(longs).view(np.uint8).astype(np.int64).reshape(-1, CHUNKS, CHUNK)
+            for chunk in range(CHUNKS):
+                for choice, places in enumerate(kept):
+                    key = np.full(len(signed), chunk * len(kept) + choice, np.int64)
+                    for place in places:
                         key = key << BITS | signed[:, chunk, place]
-                yield pa.record_batch({"key": key, "row": batch["row"]})
+                    yield pa.record_batch({"key": key, "row": batch["row"]})
+
+    return run
 
 
 def distance(a: str, b: str) -> Column:
@@ -182,7 +204,7 @@ class NearDuplicates:
     """The groups of ``docs``. Building one runs the jobs; the results are tables."""
 
     def __init__(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT):
-        self.doc_id, self.text, self.percent = doc_id, text, percent
+        self.doc_id, self.text, self.percent, self.distance = doc_id, text, percent, distance_for(percent)
         whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc")
         # Rows get a number that stays: the copy written here is what all later steps read.
         self.rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), whole), "rows")
@@ -196,7 +218,8 @@ class NearDuplicates:
 
     def _labels(self) -> DataFrame:
         """``row, label``: the component of every class that shares a key."""
-        keys = self.classes.select("row", *_LONGS).mapInArrow(_index, "key long, row long")
+        keys = self.classes.select("row", *_LONGS).mapInArrow(
+            _index(self.distance // CHUNKS), "key long, row long")
         shared = keys.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high")) \
             .filter("low < high").select("key")
         self.keys = staged(keys.join(shared, "key"), "keys")
@@ -238,7 +261,7 @@ class NearDuplicates:
         second = signed.select(F.col("row").alias("b"), F.struct("n_shingles", *_LONGS).alias("sig_b"))
         low, high = F.least("sig_a.n_shingles", "sig_b.n_shingles"), F.greatest("sig_a.n_shingles", "sig_b.n_shingles")
         near = pairs.join(first, "a").join(second, "b").filter(low * 100 >= high * self.percent)
-        return near.withColumn("far", distance("sig_a", "sig_b")).filter(F.col("far") <= DISTANCE).select("a", "b", "far")
+        return near.withColumn("far", distance("sig_a", "sig_b")).filter(F.col("far") <= self.distance).select("a", "b", "far")
 
     def _stars(self, labels: DataFrame, turn: int) -> DataFrame:
         """For each row, of the rows it is compared with in this round, the nearest one."""
@@ -252,7 +275,8 @@ class NearDuplicates:
         Two sets that are alike share one of the first shingles of each in any common order,
         and from the first one they share on, both have enough shingles left. With rare
         shingles first, a text with many changes of its own meets nobody. Shingles are ordered
-        by how often these texts hold them.
+        by how often these texts hold them. Signatures travel with the shingles, so that the join
+        itself lets no pair out that is beyond the distance.
         """
         labelled, mixed = self._mixed(labels, ROUNDS)
         open_rows = labelled.join(mixed.select("key"), "key").select("row", "label").distinct()
@@ -261,14 +285,15 @@ class NearDuplicates:
         first = staged(rows.mapInArrow(_first_shingles(counts, self.percent), _FIRST), "first")
         shared = first.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
             .filter("low < high").select("shingle")
-        first = staged(first.join(shared, "shingle"), "first-shared")
+        signed = self.classes.select("row", F.struct(*_LONGS).alias("sig"))
+        first = staged(first.join(shared, "shingle").join(signed, "row"), "first-shared")
         other = first.select("shingle", F.col("row").alias("b"), F.col("label").alias("label_b"), F.col("after").alias("after_b"),
-                             F.col("n_shingles").alias("n_b"), F.col("before").alias("before_b"))
+                             F.col("n_shingles").alias("n_b"), F.col("before").alias("before_b"), F.col("sig").alias("sig_b"))
         enough = F.least("after", "after_b") * (100 + self.percent) >= (F.col("n_shingles") + F.col("n_b")) * self.percent
-        pairs = first.join(other, "shingle").filter(
-            (F.col("label") < F.col("label_b")) & enough & ~F.arrays_overlap("before", "before_b")) \
-            .select(F.col("row").alias("a"), "b").distinct()
-        return self._near(pairs).select("a", "b")
+        sizes = F.least("n_shingles", "n_b") * 100 >= F.greatest("n_shingles", "n_b") * self.percent
+        met = (F.col("label") < F.col("label_b")) & sizes & enough & (distance("sig", "sig_b") <= self.distance) \
+            & ~F.arrays_overlap("before", "before_b")
+        return first.join(other, (first["shingle"] == other["shingle"]) & met).select(F.col("row").alias("a"), "b").distinct()
 
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are alike by their full sets."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from etlkit.llm.worker_tables import worker_table
+
 SHINGLE_WORDS = 5
 # Word hashes kept per Python worker; the table is emptied when full.
 KEPT_WORDS = 500_000
@@ -22,7 +24,6 @@ class _Words(dict):
         return found
 
 
-_words = _Words()
 
 
 def words(text: str | None, table: bytes = LOWER) -> list[bytes]:
@@ -40,9 +41,10 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def word_hashes(texts: list[str | None], table: bytes = LOWER) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all words, text by text; borders: text i has [borders[i], borders[i + 1]))."""
-    if len(_words) > KEPT_WORDS:
-        _words.clear()
-    get, parts, lengths = _words.__getitem__, [], [0]
+    known = worker_table("words", _Words)
+    if len(known) > KEPT_WORDS:
+        known.clear()
+    get, parts, lengths = known.__getitem__, [], [0]
     for text in texts:
         own = words(text, table)
         lengths.append(len(own))

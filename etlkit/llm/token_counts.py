@@ -14,7 +14,6 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -23,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from etlkit.llm.common import pick, text_slices
 from etlkit.llm.pieces import SPACE, read_pieces
+from etlkit.llm.worker_tables import worker_table
 
 TOKEN_LIMIT = 4096
 # Pre-tokens kept per Python worker with their counts; the table is emptied when full.
@@ -172,10 +172,9 @@ class PieceCounter:
         return np.diff(totals[np.r_[0, ends]]).tolist()
 
 
-@lru_cache(maxsize=2)
 def counter(path: str) -> PieceCounter:
-    """One counter per Python worker and vocabulary."""
-    return PieceCounter(path)
+    """One counter per Python worker."""
+    return worker_table(f"pieces:{path}", lambda: PieceCounter(path))
 
 
 def token_count(text: Column, path: str) -> Column:

@@ -10,9 +10,9 @@ The stated queries are taken in blocks of bounded size; each block is sent to al
 every vector is compared with it where it lies. Pruning only uses bounds, so no result is
 lost, and ties go to the smaller id.
 
-Cases: a vector that is null, empty, of another width than the table's first by id, or holds
-null or non-finite components takes no part, neither as query nor as candidate; rows without
-an id neither; rows of one id are separate candidates, but a query's own id never is one; a
+Cases: a vector that is null, empty or holds null or non-finite components takes no part, neither
+as query nor as candidate; rows without an id neither; other vectors must have one width, else
+the search raises before it begins; rows of one id are separate candidates, but a query's own id never is one; a
 query with fewer candidates than k returns all; zero vectors score 0; an empty table gives an
 empty result; other columns are ignored. Components must stay below 2**31 after scaling.
 """
@@ -171,8 +171,9 @@ def top_products(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     """
     spark = vectors.sparkSession
     rows = prepared(vectors, vec_id, embedding)
-    first = rows.agg(F.min_by(F.size("v"), "vec_id").alias("width")).first()["width"]
-    rows = rows.filter(F.size("v") == F.lit(first or 0))
+    widths = rows.agg(F.min(F.size("v")).alias("least"), F.max(F.size("v")).alias("most")).first()
+    if widths["least"] != widths["most"]:
+        raise ValueError(f"vectors of {widths['least']} to {widths['most']} components have no products with each other")
     # Equal vectors differ in their ids, so many of them do not fill one range.
     dealt = rows.repartitionByRange(shuffle_partitions(rows), F.desc("length"), "vec_id")
     dealt = staged(dealt.sortWithinPartitions(F.desc("length"), "vec_id"), "by-length")

@@ -6,6 +6,8 @@ import re
 import numpy as np
 from hypothesis import given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from etlkit.llm import decontamination as dc
 from etlkit.llm.queries import QUERIES
 
@@ -99,3 +101,22 @@ def test_cases_and_blocks(spark):
     assert dc.contaminated(docs.limit(0), items).collect() == []
     assert dc.contaminated(docs, items.limit(0)).collect() == []
     assert dc.clean(docs, items.limit(0)).count() == len(rows)
+
+
+SHORT = [(1, "alpha"), (2, "beta gamma"), (3, "one two three four"), (4, "one two three four five six"), (4, "beta gamma"),
+         (None, "alpha"), (5, ""), (6, None), (7, "...")]
+
+
+def test_short_items_are_found_whole(spark):
+    texts = {1: "x Alpha, y alpha", 2: "beta. Gamma!", 3: "one two three x four", 4: "zero one two three four five", 5: "gamma beta", 6: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    items = spark.createDataFrame(SHORT, "item_id long, text string")
+    for block_words in (10**6, 3):
+        found = dc.contaminated(docs, items, block_words=block_words).collect()
+        got = sorted((r["doc_id"], r["item_id"] or 0, r["item_words"], r["covered"], tuple(map(tuple, r["tiles"]))) for r in found)
+        assert got == [(1, 0, 1, 1, ((1, 0, 1),)), (1, 1, 1, 1, ((1, 0, 1),)), (2, 2, 2, 2, ((0, 0, 2),)), (2, 4, 2, 2, ((0, 0, 2),)),
+                       (4, 3, 4, 4, ((1, 0, 4),)), (4, 4, 6, 5, ((1, 0, 5),))]
+        left = dc.clean(docs.withColumn("found", F.lit(7)), items, block_words=block_words)
+        assert left.columns == ["doc_id", "text", "found"] and sorted(r["doc_id"] for r in left.collect()) == [3, 5, 6]
+    assert dc.clean(docs, items.limit(0)).count() == 6 and dc.clean(docs.limit(0), items).count() == 0
+    assert dc.contaminated(docs, items.limit(0)).count() == 0

@@ -31,7 +31,7 @@ def brute(rows, targets):
             total = (sum(uni[m].values()) - sum(own_u.values())) * scale[m]
             loss = 0.0
             for k, c in enumerate(classes):
-                p = ((uni[m][c] - own_u[c]) * scale[m] + 1) / (total + 2**lm.CLASS_BITS)
+                p = ((uni[m][c] - own_u[c]) * scale[m] + 1) / (total + len(uni[1]))
                 if k:
                     pair = (bi[m][cells[k - 1]] - own_b[cells[k - 1]]) * scale[m]
                     before = (uni[m][classes[k - 1]] - own_u[classes[k - 1]]) * scale[m]
@@ -80,7 +80,7 @@ def test_cases(spark):
 
 def test_counts_are_those_of_real_words_and_pairs(spark, monkeypatch):
     """A word in every text, next to more others than any table of fixed size would keep apart."""
-    monkeypatch.setattr(lm, "BLOCK_BYTES", 1 << 16, raising=False)
+    monkeypatch.setattr(lm, "RANGE_BYTES", 1 << 16)
     rows = [(i, " ".join(f"the w{i}x{k}" for k in range(400))) for i in range(2500)]
     rows += [(-1, rows[0][1]), (-2, "the unseen")]
     uni, bi = Counter(), Counter()
@@ -96,7 +96,7 @@ def test_counts_are_those_of_real_words_and_pairs(spark, monkeypatch):
         own_u, own_b = Counter(words), Counter(zip(words, words[1:]))
         total, loss = sum(uni.values()) - len(words), 0.0
         for k, w in enumerate(words):
-            p = (uni[w] - own_u[w] + 1) / (total + 2**lm.CLASS_BITS)
+            p = (uni[w] - own_u[w] + 1) / (total + len(uni))
             if k:
                 pair = (words[k - 1], w)
                 seen = bi[pair] - own_b[pair]

@@ -90,12 +90,12 @@ def test_pairs_within_the_distance_share_a_key():
     for _ in range(20):
         first = rng.integers(0, 256, (1, near_duplicates.HASHES), np.uint8)
         second = first.copy()
-        at = rng.choice(near_duplicates.HASHES, near_duplicates.DISTANCE, replace=False)
+        at = rng.choice(near_duplicates.HASHES, near_duplicates.distance_for(85), replace=False)
         second[0, at] ^= 1
         longs = np.concatenate([first, second]).view(np.int64)
         batch = pa.record_batch({"row": np.array([0, 1]), **{
             s: np.ascontiguousarray(longs[:, i]) for i, s in enumerate(near_duplicates._LONGS)}})
-        assert any(b["key"][0] == b["key"][1] for b in near_duplicates._index(iter([batch])))
+        assert any(b["key"][0] == b["key"][1] for b in near_duplicates._index(1)(iter([batch])))
 
 
 def test_cases(spark):
@@ -132,3 +132,19 @@ def test_a_ball_of_copies_with_different_numbers_of_edits(spark):
     groups = brute(rows)
     assert len({c for _, _, c in groups}) > 50
     assert found(near_duplicates.NearDuplicates(docs).groups()) == groups
+
+
+def test_the_distance_follows_the_percentage(spark):
+    assert near_duplicates.distance_for(85) == 31
+    with pytest.raises(ValueError, match="every chunk"):
+        near_duplicates.distance_for(2)
+    rng, rows = np.random.default_rng(8), []
+    for group in range(100):  # 60 of 121 shingles in common: 49.6% alike
+        words = [f"g{group}w{i}" for i in range(200)]
+        common, mine, other = words[:64], words[64:94], words[94:125]
+        for kind, tail in ((0, mine), (1, other)):
+            rows.append((2 * group + kind, " ".join(common + tail)))
+    docs = spark.createDataFrame([rows[i] for i in rng.permutation(200)], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates.NearDuplicates(docs, percent=45).groups().collect()}
+    assert found == {i: i - i % 2 for i in range(200)}
+    assert len(set(r["component_id"] for r in near_duplicates.NearDuplicates(docs).groups().collect())) == 200
