@@ -33,9 +33,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from etlkit.llm.common import slices
+from etlkit.llm.common import slices, written
 from etlkit.llm.components import connected_components
 from etlkit.llm.shingles import seeds, shingle_hashes, shingle_set, word_hashes
+from etlkit.llm.worker_tables import forget_tables
 from etlkit.operators.reuse import staged
 from etlkit.operators.sizing import broadcast_if_small
 
@@ -96,6 +97,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             longs[full] = signed.view(np.int64)
         yield pa.record_batch({"row": batch["row"], "n_shingles": sizes, "print": pa.array(prints, pa.binary()),
                                **{s: np.ascontiguousarray(longs[:, i]) for i, s in enumerate(_LONGS)}})
+    forget_tables()
 
 
 def _index(errors: int):
@@ -209,7 +211,7 @@ class NearDuplicates:
         # Rows get a number that stays: the copy written here is what all later steps read.
         self.rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), whole), "rows")
         texts = self.rows.select("row", F.col(f"doc.`{text}`").alias("text"))
-        self.signed = staged(texts.mapInArrow(_sign, _SIGNED), "signed")
+        self.signed = written(texts.mapInArrow(_sign, _SIGNED), "signed")
         self.classes = staged(
             self.signed.filter("print IS NOT NULL").groupBy("print")
             .agg(F.min_by(F.struct("row", "n_shingles", *_LONGS), "row").alias("first"))
