@@ -243,9 +243,9 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", coverage: float = COVERAGE,
           block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The documents in which no item is covered far enough. Runs a job per block.
+    """The documents in which no item is covered far enough. Runs a job per block but the last.
 
-    Rows pass through Python a few at a time, so none wait for others in the JVM.
+    Rows pass through Python in slices of a few megabytes, so none wait for others in the JVM.
     """
     def without(block: Block):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,6 +256,6 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text", coverage: float
         return run
 
     schema, left = docs.schema, docs
-    for block in blocks(items, block_words=block_words):
-        left = written(left.mapInArrow(without(block), schema), "clean")
+    for number, block in enumerate(blocks(items, block_words=block_words)):
+        left = (written(left, "clean") if number else left).mapInArrow(without(block), schema)
     return left

@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from etlkit.llm.common import pick, slices, text_slices, written
+from etlkit.llm.common import pick, slices, text_slices
 from etlkit.llm.pieces import SPACE, read_pieces
 from etlkit.llm.worker_tables import worker_table
 from etlkit.operators.reuse import staged
@@ -309,7 +309,8 @@ def predictions(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
 def identified(docs: DataFrame, path: str, least: float = 0.5, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose language is found with a score of at least ``least``.
 
-    Runs jobs. Rows pass through Python a few at a time, so none wait for others in the JVM.
+    Runs the jobs of ``train``. Rows pass through Python in slices of a few megabytes, so none wait
+    for others in the JVM.
     """
     model = train(docs, path, text=text, **options)
 
@@ -319,4 +320,4 @@ def identified(docs: DataFrame, path: str, least: float = 0.5, text: str = "text
                 found = _scorer(model).predict([t or "" for t in part[text].to_pylist()])
                 yield part.filter(pa.array((found["lang_pred"] != UNDETERMINED) & (found["score"] >= least)))
 
-    return written(docs.mapInArrow(run, docs.schema), "identified")
+    return docs.mapInArrow(run, docs.schema)
