@@ -14,6 +14,7 @@ from etlkit.queries.joins import flagship_revenue
 from etlkit.queries.registry import query, table
 from etlkit.queries.storage import store
 from etlkit.sources.layered import LayeredTable
+from etlkit.sources.versions import VersionedTable
 from etlkit.workspace import new_path
 
 LOADED = "2024-01-15 08:30:00"
@@ -187,6 +188,28 @@ def schema_evolution(spark, sf):
     return read_evolving(spark, path).select("p_partkey", "p_name", "p_retailprice")
 
 
+@query("schema_versions", """
+SELECT p_partkey, p_size AS p_dimension, CASE WHEN p_size >= 20 THEN p_retailprice END AS p_retailprice,
+       CASE WHEN p_size >= 40 THEN p_brand ELSE 'none' END AS p_brand FROM part""")
+def schema_versions(spark, sf):
+    """Parts loaded in three versions: keys widened, size renamed, price and brand added, name dropped."""
+    parts = table(spark, sf, "part")
+    dimension = F.col("p_size").alias("p_dimension")
+    small, middle = "coalesce(p_size, 0) < 20", "p_size >= 20 AND p_size < 40"
+    versioned = VersionedTable(spark, new_path(spark, "versions"))
+    steps = [
+        (parts.filter(small).select(F.col("p_partkey").cast("int"), "p_name", "p_size"), {}),
+        (parts.filter(middle).select("p_partkey", "p_name", dimension, "p_retailprice"),
+         {"renamed": {"p_dimension": "p_size"}}),
+        (parts.filter("p_size >= 40").select("p_partkey", dimension, "p_retailprice", "p_brand"),
+         {"defaults": {"p_brand": "none"}}),
+    ]
+    for rows, changes in steps:
+        versioned.declare(rows.schema, **changes)
+        versioned.append(rows)
+    return versioned.read()
+
+
 @query("iterative_checkpoint", """
 SELECT o_orderkey, CAST(o_totalprice > 50000 AS INTEGER) + CAST(o_totalprice > 100000 AS INTEGER)
        + CAST(o_totalprice > 150000 AS INTEGER) + CAST(o_totalprice > 200000 AS INTEGER)

@@ -8,6 +8,7 @@ from etlkit.operators.metrics import exact_sum
 from etlkit.operators.sizing import hot_keys
 from etlkit.queries.registry import query, table
 from etlkit.streaming.files import compact_updates, latest_rows, stream_files, write_batches, write_stream
+from etlkit.streaming.sessions import closed_sessions, write_sessions
 from etlkit.streaming.state import merge_totals, running_totals
 from etlkit.streaming.windows import session_aggregate, time_span, windowed_aggregate
 from etlkit.workspace import new_path
@@ -92,6 +93,23 @@ def stream_session(spark, sf):
     return _complete(spark, sessions, "stream-session")
 
 
+@query("stream_closed_sessions", f"""
+WITH g AS (SELECT user_id, ts, value, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts)
+                  + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM events),
+     s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM g)
+SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 6 HOUR AS window_end, {COUNTS_SQL}
+FROM s GROUP BY user_id, n
+HAVING ceil(epoch_us(max(ts) + INTERVAL 6 HOUR) / 1000)
+       < (SELECT floor(epoch_us(max(ts) - INTERVAL 2 DAY) / 1000) FROM events)""")
+def stream_closed_sessions(spark, sf):
+    """Sessions over by the watermark, two days behind the newest event, each reported once by its timer."""
+    base = new_path(spark, "stream-closed")
+    closed = closed_sessions(events_stream(spark, sf), "user_id", "ts", "value", 6 * 3600, "2 days")
+    write_sessions(closed, f"{base}/out", f"{base}/checkpoint")
+    return _plain(latest_rows(spark, f"{base}/out", _as_read(closed.schema), ["user_id", "window_start"]))
+
+
 @query("stream_late_drop", """
 WITH w AS (SELECT date_trunc('hour', ts) AS window_start, event_type FROM events),
      m AS (SELECT max(ts) - INTERVAL 10 DAY AS mark FROM events WHERE event_type IS DISTINCT FROM 'error')
