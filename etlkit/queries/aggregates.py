@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from etlkit.operators.bitmaps import DistinctStore
 from etlkit.operators.metrics import (
     aggregate_metrics, count_where, distinct_counts, exact_sum, period_trend, salted_aggregate,
 )
 from etlkit.queries.registry import query, table
+from etlkit.workspace import new_path
 
 
 @query("aggregate_metrics", """
@@ -102,6 +104,24 @@ def distinct_counts_query(spark, sf):
     return distinct_counts(orders, ["o_custkey", "o_orderdate", "o_orderpriority"])
 
 
+@query("distinct_bitmaps", """
+WITH v AS (SELECT o_orderstatus AS status, 'o_custkey' AS column_name, CAST(o_custkey AS VARCHAR) AS v FROM orders
+           UNION ALL SELECT o_orderstatus, 'o_orderdate', CAST(o_orderdate AS VARCHAR) FROM orders
+           UNION ALL SELECT o_orderstatus, 'o_orderpriority', o_orderpriority FROM orders)
+SELECT status, column_name, count(*) AS distinct_count FROM (SELECT DISTINCT * FROM v) GROUP BY ALL
+UNION ALL SELECT 'all', column_name, count(*) FROM (SELECT DISTINCT column_name, v FROM v) GROUP BY ALL""")
+def distinct_bitmaps(spark, sf):
+    """Distinct values per status and of all orders, from the stored bitmaps of two loads."""
+    orders = table(spark, sf, "orders").withColumnRenamed("o_orderstatus", "status")
+    store = DistinctStore(
+        spark, new_path(spark, "distinct"), ["o_custkey", "o_orderdate", "o_orderpriority"], ["status"])
+    dear = F.coalesce(F.col("o_totalprice") > 100000, F.lit(False))
+    store.add(orders.filter(~dear), 0)
+    store.add(orders.filter(dear), 1)
+    total = store.counts().select(F.lit("all").alias("status"), "column_name", "distinct_count")
+    return store.counts(["status"]).unionAll(total)
+
+
 @query("counts_one_pass", """
 SELECT count(*) FILTER (event_type = 'purchase') AS purchases,
        count(*) FILTER (event_type = 'error') AS errors,
