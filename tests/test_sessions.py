@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 
 from etlkit.streaming.files import latest_rows, stream_files
-from etlkit.streaming.sessions import _combine, closed_sessions, write_sessions
+from etlkit.streaming.sessions import _combine, _merged, closed_sessions, write_sessions
 
 SCHEMA = "user long, at timestamp, amount double"
 START, GAP = datetime(2024, 1, 1), 60
@@ -100,6 +100,32 @@ def test_state_rows_stay_bounded(feed):
     assert len(held) >= 24 and max(held) <= 24
 
 
+def test_many_sessions_share_the_entries_and_timers_of_their_group(spark, tmp_path, conf):
+    conf(spark__sql__shuffle__partitions="2")
+    rng = random.Random(5)
+    events = [(rng.choice([None, *range(300)]), rng.randrange(900), rng.randrange(500)) for _ in range(2000)]
+    events += [(0, 5000, 1)]
+    rows = [(u, START + timedelta(seconds=s), c / 100) for u, s, c in events]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/in")
+    df = stream_files(spark, f"{tmp_path}/in", spark.createDataFrame([], SCHEMA).schema)
+    closed = closed_sessions(df, "user", "at", "amount", GAP, "10 minutes", groups=4)
+    query = write_sessions(closed, f"{tmp_path}/out", f"{tmp_path}/check")
+    held = [sum(o.numRowsTotal for o in p.stateOperators) for p in query.recentProgress]
+    # A group is an entry and a timer, in two indexes; each of the 301 keys has open sessions of its own.
+    assert 0 < max(held) <= 12
+    got = latest_rows(spark, f"{tmp_path}/out", closed.schema, ["user", "window_start"]).collect()
+    assert sorted([(r["user"], r["events"], round(r["total"] * 100)) for r in got], key=str) == sorted(
+        [(u, n, c) for u, _, last, n, c in brute(events) if last + GAP < 4400], key=str)
+
+
+def test_sessions_of_a_group_merge_across_parts():
+    parts = [pd.DataFrame(rows, columns=["key", "first", "last", "events", "cents"]) for rows in (
+        [("a", 0, 500, 9, 1), ("b", 90, 90, 1, 2), (None, 10, 20, 2, 3)],
+        [("a", 100, 110, 2, 4), ("a", 590, 600, 2, 5), ("a", 700, 700, 1, 6), (None, 119, 119, 1, 7)])]
+    got = {(None if pd.isna(k) else k, *rest) for k, *rest in _merged(parts, 100).itertuples(index=False)}
+    assert got == {("a", 0, 600, 13, 10), ("a", 700, 700, 1, 6), ("b", 90, 90, 1, 2), (None, 10, 119, 3, 10)}
+
+
 def test_events_merge_before_the_shuffle():
     batch = pd.DataFrame({"key": ["a", None, "a", "b", None], "at": [50, 10, 0, 55, 400], "cents": [1, 2, 3, 4, 5]})
     [merged] = _combine(100)(iter([batch, batch.head(0)]))
