@@ -1,11 +1,13 @@
 import glob
 import os
 
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from etlkit.operators import layout
 from etlkit.operators.layout import (
     BALANCED_WRITE, balanced, colocate, compacted, partition_summary, range_layout, skew_profile,
     stored_bytes,
@@ -187,6 +189,21 @@ def test_compaction(spark, tables, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/four").exceptAll(tables("orders")).count() == 0
 
 
+def test_a_sorted_file_is_bounded_by_its_rows_in_memory(spark, tmp_path, monkeypatch):
+    # Long equal texts are tiny in a file and large where a task sorts them.
+    rows = spark.range(0, 4000, 1, 8).select("id", F.repeat(F.lit("x"), 1000).alias("v"))
+    rows.write.parquet(f"{tmp_path}/small")
+    small = spark.read.parquet(f"{tmp_path}/small")
+    monkeypatch.setattr(layout, "SORT_BYTES", 1 << 20)
+    compacted(small, ["id"]).write.parquet(f"{tmp_path}/sorted")
+    files = [pd.read_parquet(f) for f in glob.glob(f"{tmp_path}/sorted/*.parquet")]
+    assert len(files) == 5 and max(map(len, files)) <= 1500
+    assert sorted(i for f in files for i in f["id"]) == list(range(4000))
+    assert all(f["id"].is_monotonic_increasing and len(f) == f["id"].max() - f["id"].min() + 1 for f in files)
+    compacted(small).write.parquet(f"{tmp_path}/one")
+    assert len(glob.glob(f"{tmp_path}/one/*.parquet")) == 1
+
+
 def test_skew_profile(spark):
     df = spark.createDataFrame([("a",)] * 80 + [("b",)] * 10 + [("c",)] * 6 + [("d",)] * 4, "k string")
     row = skew_profile(df, ["k"]).first()
