@@ -35,7 +35,7 @@ BLOCK_IDS = 1 << 20
 _CODES = (np.arange(256)[:, None] >> (2 * np.arange(4))) & 3
 _OFFSETS = np.cumsum(_CODES + 1, axis=1) - (_CODES + 1)
 _TOTALS = (_CODES + 1).sum(axis=1)
-_MASKS = (np.uint64(1) << (8 * (_CODES + 1)).astype(np.uint64)) - np.uint64(1)
+_MASKS = ((np.uint64(1) << (8 * (_CODES + 1)).astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
 
 _IDS = "doc_id long, shard int, start long, n_tokens long, ids binary"
 _BLOCKS = ("shard int, doc_ids array<long>, starts array<long>, sizes array<long>, "
@@ -68,9 +68,8 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     at = (begins[:, None] + _OFFSETS[keys]).ravel()[:n]
     padded = np.zeros(len(data) + 4, np.uint8)
     padded[:len(data)] = np.frombuffer(data, np.uint8)
-    words = padded[at].astype(np.uint64)
-    for byte in (1, 2, 3):
-        words |= padded[at + byte].astype(np.uint64) << np.uint64(8 * byte)
+    # Four bytes from every place on.
+    words = np.ndarray(len(data) + 1, "<u4", padded.data, strides=(1,))[at]
     return (words & _MASKS[keys].ravel()[:n]).astype(np.uint32)
 
 

@@ -1,5 +1,6 @@
 """Token files against the library on whole texts, and the streams' round trip."""
 
+import random
 import zlib
 
 import numpy as np
@@ -7,7 +8,7 @@ import public_tokenizers
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from etlkit.llm import token_files
+from etlkit.llm import byte_tokens, token_files
 from etlkit.llm.byte_tokens import encoder
 from etlkit.llm.queries import QUERIES
 from etlkit.workspace import new_path
@@ -67,3 +68,25 @@ def test_no_rows(spark):
     folder = new_path(spark, "test-tokens")
     token_files.write_tokens(spark.createDataFrame([], "doc_id long, text string"), folder, PATH)
     assert token_files.read_tokens(spark, folder).collect() == []
+
+
+def test_tables_that_fill_up_and_pieces_of_every_kind_give_the_ids_of_the_library(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(8)
+    ends = ["", ".", ",", ".\nThe", "!?", "\n", "\u00e9", "\u4e16", "'s", "12", "  ", "\t", ".,", "\u00aa"]
+    texts = [" ".join(rng.choice(["", "ab", "Cd", "e"]) + str(rng.choice(["", "xy", n % 37])) + rng.choice(ends)
+                      for n in range(rng.randrange(60))) for _ in range(300)]
+    monkeypatch.setattr(byte_tokens, "KEPT_PIECES", 150)
+    monkeypatch.setattr(byte_tokens, "KEPT_PARTS", 60)
+    made = byte_tokens.TextEncoder(path)
+    got = [ids for i in range(0, 300, 10) for ids in made.encode(texts[i:i + 10])]
+    assert got == made.whole(texts)
+    assert made.kept.old and not made.kept.missing
+
+
+def test_a_word_goes_to_the_library_once_with_and_without_a_point():
+    made = byte_tokens.TextEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    asked, of_lines = [], made._of_lines
+    made._of_lines = lambda lines: asked.extend(lines) or of_lines(lines)
+    made.encode(["first word word. word, words. words"] * 2)
+    assert sorted(asked) == [" word", " words", "first"] and not set(made.parts) - {"first"}
