@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from etlkit.llm import quotient_filters as filters
 from etlkit.llm.common import pick, slices
 from etlkit.llm.shingles import LOWER
+from etlkit.llm.worker_tables import forget_tables, give_back
 from etlkit.operators.reuse import staged
 from etlkit.operators.sizing import broadcast_if_small
 
@@ -114,6 +115,8 @@ def blocks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
                     now, block = _Block(), block + 1
         if now.parts:
             yield now.row(block)
+        del now
+        forget_tables()
 
     return pick(docs, text=text, lang=lang).mapInArrow(run, _BLOCK)
 
@@ -135,26 +138,28 @@ def block_entries(ids: np.ndarray, bits: int) -> filters.Entries:
 
     Pairs are numbered first; a longer run is two pairs, so each kind is one sort of whole numbers.
     """
-    def pairs(first: np.ndarray, second: np.ndarray):
-        return np.unique(first << np.uint64(32) | second, return_inverse=True, return_counts=True)
+    low, high = np.uint64(0xFFFFFFFF), np.uint64(32)
+    parts = []
+
+    def add(counts: np.ndarray, *columns: np.ndarray) -> None:
+        """One kind of run at a time: all of them as rows would take several times the block."""
+        rows = np.zeros((len(counts), MOST_WORDS), np.uint64)
+        for i, column in enumerate(columns):
+            rows[:, i] = column
+        parts.append((*filters.permuted(rows, bits), counts.astype(np.int64)))
 
     at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-    kinds, kind, times = pairs(ids[at], ids[at + 1])
+    kinds, kind, times = np.unique(ids[at] << high | ids[at + 1], return_inverse=True, return_counts=True)
     pair = np.full(len(ids) + 2, -1, np.int64)
     pair[at] = kind
-    low, high = np.uint64(0xFFFFFFFF), np.uint64(32)
-    none = np.zeros(len(kinds), np.uint64)
-    rows, counts = [np.stack([kinds >> high, kinds & low, none, none], axis=1)], [times]
+    del kind
+    add(times, kinds >> high, kinds & low)
     for length in (3, 4):
         at = at[pair[at + length - 2] >= 0]
-        found, _, times = pairs(pair[at].astype(np.uint64), pair[at + length - 2].astype(np.uint64))
+        found, times = np.unique(pair[at].astype(np.uint64) << high | pair[at + length - 2].astype(np.uint64), return_counts=True)
         a, b = kinds[(found >> high).astype(np.int64)], kinds[(found & low).astype(np.int64)]
-        none = np.zeros(len(found), np.uint64)
-        tail = (b & low, none) if length == 3 else (b >> high, b & low)
-        rows.append(np.stack([a >> high, a & low, *tail], axis=1))
-        counts.append(times)
-    left, right = filters.permuted(np.concatenate(rows), bits)
-    return filters.Entries(left, right, np.concatenate(counts).astype(np.int64))
+        add(times, a >> high, a & low, *((b & low,) if length == 3 else (b >> high, b & low)))
+    return filters.Entries(*map(np.concatenate, zip(*parts)))
 
 
 def _filters(entries: filters.Entries, block: int, prefix: int, bits: int, used: int, taken: int) -> list[dict]:
@@ -175,7 +180,11 @@ def _counted(bits: int, taken: int):
         ids = np.zeros(int(numbers.max(initial=0)) + 1, np.uint64)
         ids[found["number"].to_numpy()] = found["id"].to_numpy().astype(np.uint64)
         entries = block_entries(ids[numbers], bits)
-        return pa.Table.from_pylist(_filters(entries, row["block"], 0, bits, 0, taken), _FILTER_SCHEMA)
+        del numbers, ids
+        made = pa.Table.from_pylist(_filters(entries, row["block"], 0, bits, 0, taken), _FILTER_SCHEMA)
+        del entries
+        give_back()
+        return made
 
     return run
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from etlkit.llm.common import pick, slices, text_slices
 from etlkit.llm.pieces import SPACE, read_pieces
-from etlkit.llm.worker_tables import worker_table
+from etlkit.llm.worker_tables import give_back, worker_table
 from etlkit.operators.reuse import staged
 
 UNDETERMINED = "und"
@@ -319,5 +319,6 @@ def identified(docs: DataFrame, path: str, least: float = 0.5, text: str = "text
             if model.languages:
                 found = _scorer(model).predict([t or "" for t in part[text].to_pylist()])
                 yield part.filter(pa.array((found["lang_pred"] != UNDETERMINED) & (found["score"] >= least)))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -7,16 +7,21 @@ operators that it has served.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 from typing import Any
 
+import pyarrow as pa
+
+# Only the C library of Linux has it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _kept: dict[str, Any] = {}
 
 
 def worker_table(owner: str, make: Callable[[], Any]) -> Any:
     """The table of ``owner``, made when another one's, or none, is held."""
     if owner not in _kept:
-        _kept.clear()
+        forget_tables()
         _kept[owner] = make()
     return _kept[owner]
 
@@ -24,3 +29,11 @@ def worker_table(owner: str, make: Callable[[], Any]) -> Any:
 def forget_tables() -> None:
     """Give the table back, for steps that need none."""
     _kept.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, which a worker would keep while it waits for its next task."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)

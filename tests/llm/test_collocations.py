@@ -1,6 +1,7 @@
 """Collocations against SQL and plain counting; filters against dictionaries."""
 
 import re
+import tracemalloc
 from collections import Counter
 from fractions import Fraction
 
@@ -106,3 +107,12 @@ def test_a_filter_takes_little_room():
     size = sum(len(part) for _, own in filters.split(entries, 17, 0, 8)
                for part in filters.packed(filters.merged([own], 17, 8), 17, 8).values() if isinstance(part, bytes))
     assert size < 9.5 * len(ids)
+
+
+def test_counting_a_block_takes_a_few_times_its_numbers():
+    ids = np.random.default_rng(1).integers(0, 30_000, 200_000).astype(np.uint64)
+    tracemalloc.start()
+    entries = collocations.block_entries(ids, 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert entries.counts.sum() > 500_000 and peak < 250 * len(ids)

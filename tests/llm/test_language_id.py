@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from etlkit.llm import language_id
+from etlkit.llm import language_id, worker_tables
 from etlkit.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -79,3 +79,12 @@ def test_cases(spark):
     no_labels = language_id.predictions(docs.withColumn("lang", docs["lang_pred"].substr(9, 1)).filter("doc_id > 999").selectExpr(
         "doc_id", "text", "cast(null as string) as lang"), PATH).collect()
     assert {r["lang_pred"] for r in no_labels} == {"und"}
+
+
+def test_a_worker_returns_the_memory_of_a_table_that_another_replaces(monkeypatch):
+    returned = []
+    monkeypatch.setattr(worker_tables, "_kept", {})
+    monkeypatch.setattr(worker_tables, "give_back", lambda: returned.append(dict(worker_tables._kept)))
+    assert worker_tables.worker_table("a", lambda: 1) == worker_tables.worker_table("a", lambda: 2) == 1
+    returned.clear()
+    assert worker_tables.worker_table("b", lambda: 3) == 3 and returned == [{}]
