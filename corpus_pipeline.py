@@ -12,6 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from etlkit.llm import decontamination, language_id, mixing, near_duplicates, token_files
+from etlkit.llm.common import FEW_ROWS
+from etlkit.session import options
 from etlkit.workspace import new_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -62,6 +64,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = new_path(spark, f"corpus-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with options(spark, FEW_ROWS):  # whole texts go through Python
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

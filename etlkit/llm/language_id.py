@@ -166,7 +166,7 @@ def expected_counts(lattice: Lattice, logp: np.ndarray, words: list[str], counts
 
 @lru_cache(maxsize=2)
 def lattice(path: str) -> Lattice:
-    """One lattice per Python worker and vocabulary."""
+    """One lattice per vocabulary, for the driver; workers let theirs go with their tables."""
     return Lattice(path)
 
 
@@ -196,7 +196,7 @@ def _expectation(path: str, languages: list[str], logp: np.ndarray):
             for language, rows in table.groupby("lang"):
                 column = languages.index(language)
                 total[:, column] += expected_counts(
-                    lattice(path), logp[:, column], [SPACE + w for w in rows["word"]], rows["n"].to_numpy())
+                    worker_table(f"lattice:{path}", lambda: Lattice(path)), logp[:, column], [SPACE + w for w in rows["word"]], rows["n"].to_numpy())
         piece, language = np.nonzero(total)
         yield pa.record_batch({"piece": piece, "language": language, "n": total[piece, language]})
 
@@ -240,7 +240,7 @@ class Scorer:
     """Scores texts word by word; each word is scored once and kept."""
 
     def __init__(self, model: Model):
-        self.model, self.kept = model, {}
+        self.model, self.kept, self.lattice = model, {}, Lattice(model.path)
         self.scores = np.zeros((0, len(model.languages) + 1))  # last column: words
 
     def _learn(self, pieces: list[bytes]) -> None:
@@ -249,7 +249,7 @@ class Scorer:
         found = [[w] if (w := p.decode()).isalpha() else _WORDS.findall(w) for p in pieces]
         words = sorted(set(chain.from_iterable(found)))
         rows = {w: i for i, w in enumerate(words)}
-        known = word_scores(lattice(self.model.path), self.model.logp, [SPACE + w for w in words])
+        known = word_scores(self.lattice, self.model.logp, [SPACE + w for w in words])
         known = np.c_[known, np.ones(len(words))]
         owner = np.repeat(np.arange(len(pieces)), [len(f) for f in found])
         used = known[[rows[w] for w in chain.from_iterable(found)]]

@@ -88,3 +88,18 @@ def test_a_worker_returns_the_memory_of_a_table_that_another_replaces(monkeypatc
     assert worker_tables.worker_table("a", lambda: 1) == worker_tables.worker_table("a", lambda: 2) == 1
     returned.clear()
     assert worker_tables.worker_table("b", lambda: 3) == 3 and returned == [{}]
+
+
+def test_workers_let_the_lattice_go_with_the_scores():
+    import gc
+
+    model = language_id.Model(PATH, [], np.zeros((0, 0)), np.zeros(0))
+    before = sum(isinstance(o, language_id.Lattice) for o in gc.get_objects())
+    scorer = language_id._scorer(model)
+    assert scorer.lattice.size == language_id.lattice(PATH).size
+    scorer = None
+    worker_tables.forget_tables()
+    language_id.lattice.cache_clear()
+    gc.collect()
+    assert sum(isinstance(o, language_id.Lattice) for o in gc.get_objects()) <= before
+    assert not any(isinstance(o, language_id.Scorer) for o in gc.get_objects())
