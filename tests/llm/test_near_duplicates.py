@@ -148,3 +148,29 @@ def test_the_distance_follows_the_percentage(spark):
     found = {r["doc_id"]: r["component_id"] for r in near_duplicates.NearDuplicates(docs, percent=45).groups().collect()}
     assert found == {i: i - i % 2 for i in range(200)}
     assert len(set(r["component_id"] for r in near_duplicates.NearDuplicates(docs).groups().collect())) == 200
+
+
+def test_pairs_that_are_near_but_not_linked_do_not_leave_the_join(spark):
+    """A ball whose pairs are mostly near: what is compared follows the links, and holds them all."""
+    rng = random.Random(12)
+    base, rows = [f"v{i}" for i in range(146)], []
+    for i in range(150):
+        copy = list(base)
+        for place in rng.sample(range(146), rng.randrange(4)):
+            copy[place] = f"e{i}x{place}"
+        rows.append((i, " ".join(copy)))
+    near = near_duplicates.NearDuplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    pairs = {(r["a"], r["b"]) for r in near._across(near.classes.select("row", near.classes["row"].alias("label"))).collect()}
+    own = {r["row"]: shingles(r["doc"]["text"]) for r in near.rows.join(near.classes, "row", "left_semi").collect()}
+    linked = {(x, y) for x in own for y in own if x < y and 100 * len(own[x] & own[y]) >= 85 * len(own[x] | own[y])}
+    assert len(linked) > 800 and linked <= pairs
+    assert len(pairs) <= 1.1 * len(linked)
+
+
+def test_parities_differ_in_no_more_places_than_the_sets():
+    rng = np.random.default_rng(2)
+    for n in (1, 30, 400, 5000):
+        first = np.unique(rng.integers(0, 2**64, n, np.uint64))
+        second = np.unique(np.concatenate([first[n // 10:], rng.integers(0, 2**64, n // 10, np.uint64)]))
+        places = np.unpackbits((near_duplicates.parities(first) ^ near_duplicates.parities(second)).view(np.uint8)).sum()
+        assert places <= len(np.setxor1d(first, second))
